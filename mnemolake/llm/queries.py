@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mnemolake.llm import contamination, conversations, duplicates
+from mnemolake.llm import contamination, conversations, duplicates, neighbours
 from mnemolake.runtime import table
 
 
@@ -23,6 +23,10 @@ def p2_collapsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicates.build_ledger(table(spark, sf_dir, "memory_items")).collapsed()
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.neighbour_pairs(table(spark, sf_dir, "memory_item_embeddings"))
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.verbatim_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
@@ -35,6 +39,7 @@ QUERIES = {
     "p1_found": p1_found,
     "p2_found": p2_found,
     "p2_collapsed": p2_collapsed,
+    "p4_found": p4_found,
     "p9_found": p9_found,
     "p9_reparameterised": p9_reparameterised,
 }
