@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mnemolake.llm import contamination, conversations, duplicates, neighbours
+from mnemolake.llm import contamination, conversations, duplicates, neighbours, residue
 from mnemolake.runtime import table
 
 
@@ -27,6 +27,11 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.neighbour_pairs(table(spark, sf_dir, "memory_item_embeddings"))
 
 
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = ("memory_items", "memory_daily_entries", "session_index_chunks", "session_messages")
+    return residue.residue_records(*[table(spark, sf_dir, n) for n in names])
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.verbatim_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
@@ -40,6 +45,7 @@ QUERIES = {
     "p2_found": p2_found,
     "p2_collapsed": p2_collapsed,
     "p4_found": p4_found,
+    "p7_found": p7_found,
     "p9_found": p9_found,
     "p9_reparameterised": p9_reparameterised,
 }
