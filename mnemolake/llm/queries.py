@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mnemolake.llm import contamination, conversations, duplicates, neighbours, residue
+from mnemolake.llm import contamination, conversations, duplicates, neighbours, personal_data, residue
 from mnemolake.runtime import table
 
 
@@ -23,6 +23,18 @@ def p2_collapsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicates.build_ledger(table(spark, sf_dir, "memory_items")).collapsed()
 
 
+def _personal_tables(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    return [table(spark, sf_dir, n) for n in ("memory_items", "memory_daily_entries", "session_index_chunks")]
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.personal_data(*_personal_tables(spark, sf_dir), table(spark, sf_dir, "users"))
+
+
+def p3_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.redacted(personal_data.texts_of(*_personal_tables(spark, sf_dir)), table(spark, sf_dir, "users"))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.neighbour_pairs(table(spark, sf_dir, "memory_item_embeddings"))
 
@@ -44,6 +56,8 @@ QUERIES = {
     "p1_found": p1_found,
     "p2_found": p2_found,
     "p2_collapsed": p2_collapsed,
+    "p3_found": p3_found,
+    "p3_redacted": p3_redacted,
     "p4_found": p4_found,
     "p7_found": p7_found,
     "p9_found": p9_found,
