@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mnemolake.functions.ranks import group_rank
+from mnemolake.functions.timestamps import once
 from mnemolake.operators.normal_times import with_instant
 from mnemolake.runtime import shared_path
 
@@ -39,6 +40,7 @@ _INVISIBLE = "[\\s\\p{Z}\\p{C}\\u034f\\u115f\\u1160\\u2800\\u3164\\uffa0\\ufe0e\
 # Fixed value: the marker of a reply that is not to be shown, alone or as {"action": ...}
 _SILENT = r"(?i)\{\s*\"action\"\s*:\s*\"\s*NO_REPLY\s*\"\s*\}|[*.]*\bNO_REPLY\b[*.]*"
 _JSON_LIKE = r"^\s*(?:\[\s*(?:\{\s*(?:\"|\}|$)|\"|\]|$)|\{\s*(?:\"|\}|$))"
+_JSON_LIST = r"^\s*\[\s*(?:\{\s*\"|\]|$)"
 _PARTS = "array<struct<type:string,text:string>>"
 _LINE = ["k", "row_id", "instant", "who", "visible", "hash", "broken"]
 
@@ -47,7 +49,7 @@ def message_text(content: Column) -> Column:
     """Text of a message: itself, or its ``text`` parts where it is a JSON list of parts."""
     parts = F.filter(F.from_json(content, _PARTS), lambda p: p["type"] == "text")
     joined = F.array_join(F.transform(parts, lambda p: p["text"]), "\n")
-    return F.when(content.rlike(r"^\s*\["), F.when(F.try_parse_json(content).isNotNull(), joined).otherwise(content)).otherwise(content)
+    return F.when(content.rlike(_JSON_LIST), F.coalesce(joined, content)).otherwise(content)
 
 
 def transcript_lines(messages: DataFrame, workspaces: DataFrame) -> DataFrame:
@@ -87,20 +89,22 @@ def closed_sessions(lines: DataFrame, gap: str, delay: str) -> DataFrame:
 
 def judged(sessions: DataFrame) -> DataFrame:
     """Put closed sessions together; keeps the sound ones as (``session_id``, ``turns``: ordered row ids and speakers)."""
-    s = sessions.withColumn("lines", F.array_sort("lines"))
+    s = once(sessions.select("session_id", F.array_sort("lines").alias("lines")), "lines")
     before = lambda i: F.get(F.col("lines"), i - 1)
     s = s.withColumns({
         "kept": F.filter("lines", lambda x, i: (i == 0) | ~x["k"].eqNullSafe(before(i)["k"])),
         "torn": F.exists(F.transform("lines", lambda x, i: (i > 0) & ~x["k"]["lost"] & (x["k"]["line"] == before(i)["k"]["line"]) & (x["hash"] != before(i)["hash"])), lambda b: F.coalesce(b, F.lit(False)))
         | F.exists("lines", lambda x: x["broken"]),
     })
+    s = once(s.select("session_id", "kept", "torn"), "kept", "torn")
     numbered = F.filter("kept", lambda x: ~x["k"]["lost"] & (x["k"]["line"] >= 1))
     complete = F.size(numbered) == F.coalesce(F.array_max(F.transform("kept", lambda x: x["k"]["line"])), F.lit(0))
     shown = F.transform(
         F.filter("kept", lambda x: x["visible"]),
         lambda x: F.struct(x["k"]["lost"].alias("lost"), x["k"]["line"].alias("line"), x["instant"].isNull().alias("unread"), F.when(x["k"]["lost"], x["instant"]).alias("at"), x["row_id"].alias("row_id"), x["who"].alias("who")),
     )
-    s = s.where(~F.col("torn") & (complete | (F.size(numbered) == 0))).select("session_id", F.array_sort(shown).alias("turns"))
+    s = s.withColumn("sound", ~F.col("torn") & (complete | (F.size(numbered) == 0)))
+    s = once(s.select("session_id", F.when(F.col("sound"), F.array_sort(shown)).alias("turns")), "turns")
     first, last = F.get("turns", F.lit(0))["who"], F.element_at("turns", -1)["who"]
     return s.where((F.size("turns") > 0)).where((first == USER) & (last == ASSISTANT))
 
