@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mnemolake.llm import contamination, conversations, duplicates, neighbours, personal_data, residue
+from mnemolake.llm import contamination, conversations, duplicates, neighbours, packing, personal_data, residue, subjects
 from mnemolake.runtime import table
 
 
@@ -44,6 +44,14 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residue.residue_records(*[table(spark, sf_dir, n) for n in names])
 
 
+def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pack_budgets"))
+
+
+def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.fill_report(p8_containers(spark, sf_dir), table(spark, sf_dir, "pack_budgets"))
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.verbatim_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
@@ -52,6 +60,18 @@ def p9_reparameterised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.reparameterised_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
 
+def _subject_tables(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    return [table(spark, sf_dir, n) for n in ("documents", "topic_labels", "subject_areas")]
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subjects.document_subjects(*_subject_tables(spark, sf_dir))
+
+
+def p10_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subjects.composition(*_subject_tables(spark, sf_dir))
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p2_found": p2_found,
@@ -60,8 +80,12 @@ QUERIES = {
     "p3_redacted": p3_redacted,
     "p4_found": p4_found,
     "p7_found": p7_found,
+    "p8_containers": p8_containers,
+    "p8_fill": p8_fill,
     "p9_found": p9_found,
     "p9_reparameterised": p9_reparameterised,
+    "p10_found": p10_found,
+    "p10_composition": p10_composition,
 }
 SQL: dict[str, str] = {}
 
