@@ -12,6 +12,7 @@ count once; extra columns are ignored.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -123,8 +124,6 @@ def _relaxed_hits(items: DataFrame, entries: DataFrame, requests: DataFrame, k:
 
 def fuzzy_items(items: DataFrame, requests: DataFrame, k: int = 10) -> DataFrame:
     """Trigram tier: set similarity, best-extent similarity, and substring boosts (``%`` and ``_`` stay live)."""
-    import pandas as pd
-
     live = live_items(items).where("status = 'active'")
     st = F.lower(T.search_text(F.col("title"), F.col("content"), F.col("canonical_key")))
     doc = live.select("user_id", "workspace_id", "id", "importance", "updated_at", st.alias("_st"), F.lower(F.coalesce("canonical_key", F.lit(""))).alias("_key"), T.trigrams(st).alias("_tg"))

@@ -6,7 +6,7 @@ import importlib
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ["pipeline"]
+MODULES = ["pipeline", "basics", "retrieval"]
 
 
 def _gather(name: str) -> dict:
@@ -25,4 +25,4 @@ def all_sql() -> dict:
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return all_queries()["p6_found"](spark, sf_dir)
+    return all_queries()["ret05_cascade"](spark, sf_dir)
