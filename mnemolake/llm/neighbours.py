@@ -33,6 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from mnemolake.functions.timestamps import once
 from mnemolake.runtime import written
 
 STEP = 32767.0
@@ -45,11 +46,9 @@ def usable_vectors(embeddings: DataFrame) -> DataFrame:
         F.col("profile_key").isNotNull() & F.col("id").isNotNull() & (F.size("v") == F.col("dimensions")) & (F.size("v") > 0)
         & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0.0)
     )
-    top = F.array_max(F.transform("v", F.abs))
-    scaled = F.transform("v", lambda x: x / F.col("top"))
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
-    e = e.where(F.coalesce(ok, F.lit(False))).withColumn("top", top).withColumn("v", scaled).withColumn("norm", norm)
-    e = e.withColumn("q", F.transform("v", lambda x: F.round(x / F.col("norm") * STEP).cast("smallint")))
+    e = once(e.where(F.coalesce(ok, F.lit(False))).withColumn("norm", norm), "norm")  # else computed again for each number
+    e = once(e.withColumn("q", F.transform("v", lambda x: F.round(x / F.col("norm") * STEP).cast("smallint"))).drop("v", "norm"), "q")
     return e.select("profile_key", "id", "q", F.xxhash64("profile_key", "q").alias("g"))
 
 
@@ -197,13 +196,14 @@ def _search_cell(k: int):
             return pd.DataFrame({"g": pd.Series(dtype="int64"), "s": [], "o": []})
         s, o = np.vstack(best), np.vstack(best_ids)
         s = -np.round(s.astype(np.float32), 6)
-        return pd.DataFrame({"g": g[asking], "s": list(s), "o": list(o)})
+        others = np.isfinite(s)  # a short list gives back the vector itself
+        return pd.DataFrame({"g": g[asking], "s": [a[m] for a, m in zip(s, others)], "o": [a[m] for a, m in zip(o, others)]})
 
     return run
 
 
 def neighbour_pairs(
-    embeddings: DataFrame, k: int = 5, list_size: int = 256, replicas: int = 3, ratio: float = 1.25, fit_sample: int = 60_000, max_lists: int = 65_536
+    embeddings: DataFrame, k: int = 5, list_size: int = 256, replicas: int = 3, ratio: float = 1.15, fit_sample: int = 60_000, max_lists: int = 65_536
 ) -> DataFrame:
     """(``profile_key``, ``left_id``, ``right_id``): pairs where one is among the other's ``k`` most similar."""
     spark = embeddings.sparkSession
