@@ -27,6 +27,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mnemolake.functions.timestamps import once
 from mnemolake.llm.conversations import message_text
 
 LATIN_RUN = 4
@@ -117,12 +118,16 @@ def has_place(text: Column) -> Column:
 
 
 def is_filler(text: Column, low: Column) -> Column:
-    latin = r"(?i)\b(?:(?:" + "|".join(LATIN) + rf")\b[\s,.;]*){{{LATIN_RUN},}}"
-    again = r"(?iu)(?<![\p{L}\p{N}])(?:(\p{L}{2,})(?:\s+\1){4,}|(test|xxx+|bla|blah|asdf|qwerty|tbd|todo|foo|dummy|text|n/a)(?:\s+\2){2,})(?![\p{L}\p{N}])"
+    latin = r"(?i)\b(?:(?:" + "|".join(LATIN) + rf")\b[\s,.;]*){{{LATIN_RUN}}}"
+    # counts are exact, not open: an open repeat of a group costs stack for every turn in a long text
+    # possessive, so a word that is not repeated is left at once
+    again = r"\b(\p{L}{2,}+)(?:\s+\1\b){4}"
+    dummy = r"(?iu)(?<![\p{L}\p{N}])(test|xxx+|bla|blah|asdf|qwerty|tbd|todo|foo|dummy|text|n/a)(?:\s+\1){2}(?![\p{L}\p{N}])"
     return (
         F.when(_any(low, ["lorem", "ipsum", "dolor", "amet"]), text.rlike(latin)).otherwise(False)
-        | text.rlike(again)
-        | F.when(_any(low, ["placeholder", "here", "hier", "something", "click", "description", "replace", "aquí", "здесь"]), text.rlike(_phrases(FILLER))).otherwise(False)
+        | low.rlike(again)
+        | F.when(_any(low, ["test test", "xxx xxx", "bla bla", "blah blah", "asdf asdf", "qwerty qwerty", "tbd tbd", "todo todo", "foo foo", "dummy dummy", "text text", "n/a n/a", "xxxx"]), text.rlike(dummy)).otherwise(False)
+        | F.when(_any(low, ["placeholder content", "placeholder text", " here", "hier steht", "type something", "click to edit", "a description of", "replace it before", "texto aquí", "здесь будет"]), text.rlike(_phrases(FILLER))).otherwise(False)
     )
 
 
@@ -137,9 +142,12 @@ def is_error(text: Column, low: Column) -> Column:
         rf"{_B}(?i:error\s+[45]\d\d)\.(?:\s|$)",
     ])
     return (
-        F.when(text.rlike(r"[45]\d\d|!") | low.contains("denied"), text.rlike(served)).otherwise(False)
+        F.when(text.contains("!") | low.contains("access denied") | text.rlike(r"[45]\d\d"), text.rlike(served)).otherwise(False)
         | F.when(
-            _any(low, ["wrong", "error", "expired", "sorry", "página", "seite", "страница", "maintenance", "region", "traffic", "robot", "served", "handle", "server", "permission", "incident", "moved", "owner the number"]),
+            _any(low, [
+                "went wrong", "application error", "connect error", "session has expired", "find that page", "página", "seite ", "страница", "for maintenance", "in your region", "unusual traffic",
+                "not a robot", "be served", "not handle the request", "no server is", "have permission", "minutes, incident", "been moved", "site owner the number",
+            ]),
             text.rlike(_phrases(ERROR)),
         ).otherwise(False)
     )
@@ -152,7 +160,9 @@ def wants_scripts(text: Column, low: Column) -> Column:
 def with_residue(df: DataFrame, text: str, name: str = "residue") -> DataFrame:
     """``df`` plus ``name``: what kind of residue ``text`` is or contains, or null."""
     t, low = F.col("_text"), F.col("_low")
-    df = df.withColumn("_text", F.regexp_replace(F.col(text), "[ \\t\\u00a0\\u2009\\u202f]+", " ")).withColumn("_low", F.lower("_text"))
+    wide = _any(F.col(text), ["  ", "\t", "\u00a0", "\u2009", "\u202f"])
+    df = once(df.withColumn("_text", F.when(wide, F.regexp_replace(F.col(text), "[ \\t\\u00a0\\u2009\\u202f]+", " ")).otherwise(F.col(text))), "_text")
+    df = once(df.withColumn("_low", F.lower(F.translate("_text", "\n\r", "  "))), "_low")
     kind = (
         F.when(wants_scripts(t, low), "scripts").when(is_error(t, low), "error").when(is_filler(t, low), "filler").when(has_place(t), "template")
     )
@@ -164,7 +174,7 @@ def residue_records(items: DataFrame, entries: DataFrame, chunks: DataFrame, mes
 
     def found(df: DataFrame, src: str, key: str, text: Column) -> DataFrame:
         rows = df.where(F.col(key).isNotNull()).select(F.col(key).cast("string").alias("row_key"), text.alias("text"))
-        return with_residue(rows, "text").where("residue is not null").select(F.lit(src).alias("src"), "row_key").distinct()
+        return once(with_residue(rows, "text").select("row_key", "residue"), "residue").where("residue is not null").select(F.lit(src).alias("src"), "row_key").distinct()
 
     said = F.regexp_replace(F.col("text"), r"^(?:User|Assistant): ", "")
     return (
