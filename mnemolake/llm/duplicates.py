@@ -31,7 +31,7 @@ _WORD = re.compile(r"[^\W_]+")
 
 
 def _fold(text: str) -> str:
-    return " ".join(_WORD.findall(text.upper().lower()))
+    return " ".join(_WORD.findall(text.lower().replace("ß", "ss")))
 
 
 def _flat(value) -> str:
@@ -64,8 +64,8 @@ def _json_words(texts: pd.Series) -> pd.Series:
 
 
 def words(text: Column) -> Column:
-    """Letters and digits in one case, everything else one blank."""
-    return F.trim(F.regexp_replace(F.lower(F.upper(text)), r"[^\p{L}\p{N}]+", " "))
+    """Letters and digits in one case (a sharp s is ss, as in capitals), everything else one blank."""
+    return F.trim(F.regexp_replace(F.replace(F.lower(text), F.lit("ß"), F.lit("ss")), r"[^\p{L}\p{N}]+", " "))
 
 
 def canonical_content(df: DataFrame, content: str, name: str) -> DataFrame:
