@@ -6,7 +6,7 @@ import importlib
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ["pipeline", "basics", "retrieval"]
+MODULES = ["pipeline", "basics", "retrieval", "transcripts"]
 
 
 def _gather(name: str) -> dict:
