@@ -6,7 +6,7 @@ import importlib
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ["pipeline", "basics", "retrieval", "transcripts"]
+MODULES = ["pipeline", "basics", "retrieval", "transcripts", "selections"]
 
 
 def _gather(name: str) -> dict:
