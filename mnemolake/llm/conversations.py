@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from mnemolake.functions.ranks import group_rank
 from mnemolake.functions.timestamps import once
 from mnemolake.operators.normal_times import with_instant
-from mnemolake.runtime import shared_path
+from mnemolake.runtime import shared_path, written
 
 # Spellings of the two speaking roles.
 USER_ROLES = ["user", "human"]
@@ -160,8 +160,8 @@ def conversation_turns(messages: DataFrame, stream: DataFrame, workspaces: DataF
     """
     long_ids = messages.where("session_id is not null").groupBy("session_id").count().where(F.col("count") > max_lines).select("session_id")
     some_long = not long_ids.isEmpty()
-    if some_long:  # at most rows / max_lines ids
-        long_ids = F.broadcast(long_ids)
+    if some_long:  # counted once; how the joins with it run is left to its size
+        long_ids = written(long_ids, "long-sessions")
         stream = stream.join(long_ids, "session_id", "left_anti")
     closed = run_closed_sessions(stream, workspaces)
     whole = closed.groupBy("session_id").agg(F.flatten(F.collect_list("lines")).alias("lines"))
