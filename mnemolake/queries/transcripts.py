@@ -91,3 +91,24 @@ def str02(spark, d):
     targets = spark.createDataFrame([(a, "w") for a in ("main", "ops", "writer")], "agent_id string, workspace string")
     kept, rejected = growth.routed(_updates(spark, d), targets)
     return kept.select(F.lit("kept").alias("outcome")).unionByName(rejected.select(F.col("reason").alias("outcome"))).groupBy("outcome").agg(F.count("*").alias("n"))
+
+
+@query("wnd03_maintenance_candidates")
+def wnd03(spark, d):
+    from mnemolake.plans import maintenance
+    from mnemolake.queries.common import entries, items
+
+    e = entries(spark, d)
+    none = spark.createDataFrame([], "id string, window_index int")
+    return maintenance.cycle(e, items(spark, d), none)[0]
+
+
+@query("wnd03_maintenance_receipts", None)
+def wnd03_receipts(spark, d):
+    from mnemolake.plans import maintenance
+    from mnemolake.operators import daily
+    from mnemolake.queries.common import entries, items
+
+    e = entries(spark, d)
+    done = daily.windows(e, "id", "content").where("window_index % 2 = 1").select("id", "window_index")
+    return maintenance.cycle(e, items(spark, d), done)[1]
