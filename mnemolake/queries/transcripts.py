@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from mnemolake.functions import transcript_text as X
+from mnemolake.operators.normal_times import with_instant
 from mnemolake.runtime import shared_path, table
 from mnemolake.sources import transcripts
 from mnemolake.streaming import growth
@@ -29,10 +30,18 @@ def _messages(spark, d):
 
 
 def _files(spark, d):
-    """Session messages written as the JSON lines of one file per session."""
-    m = _messages(spark, d).where("session_id is not null and line_no is not null").dropDuplicates(["session_id", "line_no"])
-    line = F.to_json(F.struct(F.lit("message").alias("type"), "timestamp", F.struct(F.lower(F.trim("role")).alias("role"), "content", F.from_json("provenance", "kind string").alias("provenance")).alias("message")))
-    ordered = F.array_sort(F.collect_list(F.struct("line_no", line.alias("line"))))
+    """Session messages written as the JSON lines of one file per session.
+
+    Numbered lines come first, by number; the others follow by instant and ``row_id``, as in p1. Of
+    repeated lines (same number, or without number same instant, role and content) the smallest ``row_id`` stands.
+    """
+    m = with_instant(_messages(spark, d).where("session_id is not null"), table(spark, d, "workspaces"))
+    role = F.lower(F.trim("role"))
+    lost = F.col("line_no").isNull()
+    same = Window.partitionBy("session_id", "line_no", *[F.when(lost, c) for c in (F.col("instant"), role, F.col("content"))]).orderBy("row_id")
+    m = m.withColumn("copy", F.row_number().over(same)).where("copy = 1")
+    line = F.to_json(F.struct(F.lit("message").alias("type"), "timestamp", F.struct(role.alias("role"), "content", F.from_json("provenance", "kind string").alias("provenance")).alias("message")))
+    ordered = F.array_sort(F.collect_list(F.struct(lost.alias("lost"), "line_no", F.col("instant").isNull().alias("unread"), F.when(lost, F.col("instant")).alias("at"), "row_id", line.alias("line"))))
     return m.groupBy(F.concat(F.lit("sessions/"), "agent_id", F.lit("/"), "session_id", F.lit(".jsonl")).alias("path")).agg(F.array_join(F.transform(ordered, lambda x: x["line"]), "\n").alias("value"))
 
 
@@ -54,7 +63,7 @@ def txt13(spark, d):
 
 @query("src03_txt12_txt17_index_chunks")
 def txt17(spark, d):
-    return transcripts.chunks(transcripts.visible_lines(transcripts.parsed_lines(_files(spark, d))), 120)
+    return transcripts.chunks(transcripts.visible_lines(transcripts.parsed_lines(_files(spark, d))))
 
 
 @query("bud05_recent_tail", """with m as (select session_id, row_id, sum(length(coalesce(content, ''))) over (partition by session_id order by ingested_at desc, row_id desc rows unbounded preceding)::bigint as used from session_messages where record_type = 'message' and session_id is not null)

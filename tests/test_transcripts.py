@@ -27,6 +27,19 @@ def test_lines_to_chunks(spark, tmp_path):
     assert got == [(1, 0, "User: Question?"), (6, 0, "Assistant: Answer"), (6, 1, "one two three four"), (6, 2, "five")]
 
 
+def test_files_hold_lost_lines(spark, tmp_path):
+    from mnemolake.queries import transcripts as Q
+
+    long = "word " * 100
+    rows = [(5, 2, "2026-01-01T10:00:00Z", "user", "second, later copy"), (3, 2, "2026-01-01T10:00:00Z", "user", "second"), (4, 1, "2026-01-01T12:00:00Z", " User", long), (9, None, "2026-01-01T09:00:00Z", "assistant", "early"),
+            (8, None, "2026-01-01T11:00:00Z", "user", "b"), (7, None, "2026-01-01T11:00:00Z", "user", "a"), (6, None, "2026-01-01T11:00:00Z", "user", "b"), (1, None, "no time", "assistant", "last"), (2, 3, "no time", "user", "third")]
+    m = spark.createDataFrame(rows, "row_id bigint, line_no int, timestamp string, role string, content string")
+    m.selectExpr("*", "'message' record_type", "'s' session_id", "'a' agent_id", "cast(null as string) provenance", "'w' workspace_id").write.parquet(str(tmp_path / "session_messages.parquet"))
+    spark.createDataFrame([("w", "{}")], "id string, metadata string").write.parquet(str(tmp_path / "workspaces.parquet"))
+    got = [r["text"] for r in Q.txt17(spark, str(tmp_path)).orderBy("line_no", "piece").collect()]
+    assert got == [f"User: {long.strip()}", "User: second", "User: third", "Assistant: early", "User: b", "User: a", "Assistant: last"]
+
+
 def test_growth_in_a_stream(spark, tmp_path):
     rows = [(1, "sessions/a/x.jsonl", 60, 1), (2, "sessions/a/x.jsonl", 150, 1), (3, "sessions/a/x.jsonl", 10, 1), (4, "sessions/a/y.jsonl.reset.1", None, None), (5, None, 5, 1), (6, "sessions/a/z.jsonl", 0, 3)]
     df = spark.createDataFrame(rows, "seq bigint, path string, size bigint, messages bigint").withColumn("agent_id", F.lit("a"))
