@@ -121,9 +121,16 @@ def message_parts(content: Column) -> Column:
 def capture_text(text: Column) -> Column:
     """Text for a stored capture: special tokens, tool blocks, role tags, media marks and silent markers gone, blanks collapsed."""
     t = F.regexp_replace(text, r"<[|｜][^|｜]*[|｜]>", "")
-    t = F.regexp_replace(t, r"(?is)<[^<>\w]*(?:DSML[^<>\w]*)?(?:tool_calls?|function_calls?|tool_use_error)\b[^>]*>.*?(?:</[^<>\w]*(?:DSML[^<>\w]*)?(?:tool_calls?|function_calls?|tool_use_error)>|$)", "")
+    tool = r"(?:\|DSML\||｜DSML｜)?(?:tool_calls?|function_calls?|tool_use_error)"
+    t = F.regexp_replace(t, rf"(?is)<{tool}\b[^>]*>.*?(?:</{tool}>|\z)", "")
     t = F.regexp_replace(t, r"(?is)<(system|assistant|user)\b[^>]*>.*?</\1>", "")
     t = F.regexp_replace(t, r"(?i)</?(?:system|assistant|user)\b[^>]*>", "")
     t = F.regexp_replace(t, r"(?i)(^|\n)\s*<media:[^>]+>(?:\s*\([^)]*\))?\s*", "$1")
     t = F.regexp_replace(t, r"(?i)\bNO_REPLY\b", "")
     return F.nullif(F.trim(F.regexp_replace(F.regexp_replace(t, r"[ \t]+\n", "\n"), r"\n{3,}", "\n\n")), F.lit(""))
+
+
+def whole_capture_text(text: Column) -> Column:
+    """``capture_text`` of any message: a silent-reply action object is nothing, line ends left by cut blocks are trimmed too."""
+    silent = text.rlike(r"(?i)^\s*\{\s*\"action\"\s*:\s*\"\s*NO_REPLY\s*\"\s*\}\s*$")
+    return F.when(~silent, F.nullif(F.regexp_replace(capture_text(text), r"^\s+|\s+\z", ""), F.lit("")))

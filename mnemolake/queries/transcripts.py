@@ -61,6 +61,12 @@ def txt13(spark, d):
     return _messages(spark, d).where("content not like '%<%'").select("row_id", X.capture_text(F.col("content")).alias("text"))
 
 
+@query("txt13_capture_text_whole")
+def txt13_whole(spark, d):
+    """Every message, with the tag rules that the SQL of ``txt13_capture_text`` cannot express."""
+    return _messages(spark, d).select("row_id", X.whole_capture_text(F.col("content")).alias("text"))
+
+
 @query("src03_txt12_txt17_index_chunks")
 def txt17(spark, d):
     return transcripts.chunks(transcripts.visible_lines(transcripts.parsed_lines(_files(spark, d))))

@@ -40,6 +40,44 @@ def test_files_hold_lost_lines(spark, tmp_path):
     assert got == [f"User: {long.strip()}", "User: second", "User: third", "Assistant: early", "User: b", "User: a", "Assistant: last"]
 
 
+def _captured(text):
+    """The tag rules by hand: scans for the marks instead of patterns over the whole text."""
+    if text is None or text.replace(" ", "").upper() == '{"ACTION":"NO_REPLY"}':
+        return None
+    out = text
+    for bar in ("|", "｜"):
+        while (i := out.find("<" + bar)) >= 0 and (j := out.find(bar + ">", i + 2)) >= 0 and bar not in out[i + 2 : j]:
+            out = out[:i] + out[j + 2 :]
+    kinds = [p + k for p in ("", "|DSML|", "｜DSML｜") for k in ("tool_call", "tool_calls", "function_call", "function_calls", "tool_use_error")]
+    while starts := [i for k in kinds for end in " >" if (i := out.lower().find(f"<{k.lower()}{end}")) >= 0]:
+        i = min(starts)
+        ends = [(j, len(k) + 3) for k in kinds if (j := out.lower().find(f"</{k.lower()}>", i)) >= 0]
+        out = out[:i] + (out[min(ends)[0] + min(ends)[1] :] if ends else "")
+    for role in ("system", "assistant", "user"):
+        while (i := out.lower().find(f"<{role}>")) >= 0 and (j := out.lower().find(f"</{role}>", i)) >= 0:
+            out = out[:i] + out[j + len(role) + 3 :]
+        out = out.replace(f"<{role}>", "").replace(f"</{role}>", "")
+    lines = [x for x in out.split("\n")]
+    lines = [x.split(">", 1)[1].lstrip() if x.lstrip().startswith("<media:") else x for x in lines]
+    lines = [(x.split(")", 1)[1].lstrip() if x.startswith("(") and y.lstrip().startswith("<media:") else x) for x, y in zip(lines, out.split("\n"))]
+    out = "\n".join(x.replace("NO_REPLY", "").rstrip(" ") for x in lines).strip()
+    while "\n\n\n" in out:
+        out = out.replace("\n\n\n", "\n\n")
+    return out or None
+
+
+def test_capture_of_every_message(spark, tmp_path):
+    from mnemolake.queries import transcripts as Q
+
+    texts = ["plain", None, "a <b> c", "<|im_start|>hi<｜end｜>", "x\n<tool_call>{1}</tool_call>\ny", "x </tool_call> stays", "x <tool_calls a=1>open to the end\nz", "x<|DSML|function_calls>q</|DSML|function_calls>y",
+             "<system>hidden</system>shown", "<user>half", "</assistant>half", "<media:image> (a.png) look", "see <media:image>", "ok\nNO_REPLY", "NO_REPLY", '{"action": "NO_REPLY"}', "1 < 2", "a  \n\n\n\nb<tool_use_error>e</tool_use_error>\n"]
+    df = spark.createDataFrame(list(enumerate(texts)), "row_id bigint, content string").withColumn("record_type", F.lit("message"))
+    df.write.parquet(str(tmp_path / "session_messages.parquet"))
+    got = {r["row_id"]: r["text"] for r in Q.QUERIES["txt13_capture_text_whole"](spark, str(tmp_path)).collect()}
+    assert got == {i: _captured(t) for i, t in enumerate(texts)}
+    assert got[5] == "x </tool_call> stays" and got[8] == "shown" and got[11] == "look" and got[14] is None
+
+
 def test_growth_in_a_stream(spark, tmp_path):
     rows = [(1, "sessions/a/x.jsonl", 60, 1), (2, "sessions/a/x.jsonl", 150, 1), (3, "sessions/a/x.jsonl", 10, 1), (4, "sessions/a/y.jsonl.reset.1", None, None), (5, None, 5, 1), (6, "sessions/a/z.jsonl", 0, 3)]
     df = spark.createDataFrame(rows, "seq bigint, path string, size bigint, messages bigint").withColumn("agent_id", F.lit("a"))
