@@ -10,10 +10,18 @@ State holds no text: role class, visibility, a content hash and the order keys o
 window step is an aggregation inside the JVM, not a Python function per session, because sessions
 are short (tens of lines) and a call per key would cost more than the work.
 
-A session that speaks again after it was closed is emitted again by the stream; the batch reading
-(``conversation_turns``) gathers all closings of one session before it judges, so its result does
-not depend on ``gap`` or ``delay``. Sessions of more than ``max_lines`` lines are kept out of state
-and judged by aggregates and ranks that never hold a session in one task.
+The event time of a line is its own instant, but never later than its arrival, so one line dated far
+ahead cannot close the windows of all others. The stream is drained first; only then does a clock
+row come, in a second run on the same checkpoint, and close by timeout what is still open. Lines
+that came later than ``delay`` after others (possible with several micro-batches) are refused by the
+state; they are counted, and if there are any, they are fetched from the table and judged with their
+sessions. A session that speaks again after it was closed is emitted again; all closings of a
+session are gathered before it is judged. So the result depends neither on ``gap`` and ``delay`` nor
+on the number of micro-batches.
+
+Sessions of more than ``max_lines`` lines go through the same state in parts of bounded size (a hash
+of ``row_id``); the parts are judged by aggregates and distributed ranks that never hold a session in
+one task, by the same rules.
 
 Defined results: null session ids are dropped; null or blank content, content of JSON parts without
 text, the silent-reply marker alone, and invisible characters are no text; a message without
@@ -42,6 +50,7 @@ _SILENT = r"(?i)\{\s*\"action\"\s*:\s*\"\s*NO_REPLY\s*\"\s*\}|[*.]*\bNO_REPLY\b[
 _JSON_LIKE = r"^\s*(?:\[\s*(?:\{\s*(?:\"|\}|$)|\"|\]|$)|\{\s*(?:\"|\}|$))"
 _JSON_LIST = r"^\s*\[\s*(?:\{\s*\"|\]|$)"
 _PARTS = "array<struct<type:string,text:string>>"
+_EPOCH, _LATEST, _CLOCK = "1970-01-01 00:00:00", "2199-01-01 00:00:00", "2290-01-01 00:00:00"
 _LINE = ["k", "row_id", "instant", "who", "visible", "hash", "broken"]
 
 
@@ -66,10 +75,11 @@ def transcript_lines(messages: DataFrame, workspaces: DataFrame) -> DataFrame:
     relayed = F.coalesce(F.get_json_object("provenance", "$.kind") == "inter_session", F.lit(False))
     lost = F.col("line_no").isNull()
     speaker = F.when(lost, F.when(F.col("who") > 0, F.col("who").cast("string")).otherwise(role))
+    arrived = F.least("ingested_at", F.lit(_LATEST).cast("timestamp"))  # an instant after its own arrival is no clock
     content_hash = F.coalesce(F.xxhash64("content"), F.lit(0))
     return rows.select(
         "session_id",
-        F.coalesce(F.col("instant").cast("timestamp"), F.col("ingested_at"), F.timestamp_seconds(F.lit(0))).alias("event_time"),
+        F.greatest(F.coalesce(F.least(F.col("instant").cast("timestamp"), arrived), F.lit(_EPOCH).cast("timestamp")), F.lit(_EPOCH).cast("timestamp")).alias("event_time"),
         F.struct(lost.alias("lost"), F.col("line_no").cast("int").alias("line"), F.when(lost, F.col("instant")).alias("at"), speaker.alias("speaker"), F.when(lost, F.xxhash64("content")).alias("said")).alias("k"),
         F.col("row_id").cast("bigint").alias("row_id"),
         "instant",
@@ -81,10 +91,10 @@ def transcript_lines(messages: DataFrame, workspaces: DataFrame) -> DataFrame:
 
 
 def closed_sessions(lines: DataFrame, gap: str, delay: str) -> DataFrame:
-    """Streaming: one row (``session_id``, ``lines``) whenever a session closes."""
+    """Streaming: one row (``session_id``, ``part``, ``lines``, ``n``) whenever a session, or a part of a long one, closes."""
     window = F.session_window("event_time", gap)
-    seen = lines.withWatermark("event_time", delay).groupBy("session_id", window.alias("span"))
-    return seen.agg(F.collect_list(F.struct(*_LINE)).alias("lines")).select("session_id", "lines")
+    seen = lines.withWatermark("event_time", delay).groupBy("session_id", "part", window.alias("span"))
+    return seen.agg(F.collect_list(F.struct(*_LINE)).alias("lines")).select("session_id", "part", "lines", F.size("lines").alias("n"))
 
 
 def judged(sessions: DataFrame) -> DataFrame:
@@ -109,28 +119,30 @@ def judged(sessions: DataFrame) -> DataFrame:
     return s.where((F.size("turns") > 0)).where((first == USER) & (last == ASSISTANT))
 
 
-def run_closed_sessions(messages: DataFrame, workspaces: DataFrame, gap: str = "30 days", delay: str = "30 days") -> DataFrame:
-    """Drain a stream of message rows and return all closed sessions, as a table of the shared folder.
+def run_closed_sessions(lines: DataFrame, gap: str = "30 days", delay: str = "30 days", base: str | None = None, finish: bool = True) -> DataFrame:
+    """Drain a stream of ``transcript_lines`` (plus ``part``) and return all closed sessions, as a table of the shared folder.
 
-    A last row far in the future moves the watermark on, so the sessions still open at the end of
-    the input close by timeout. It comes from a second file stream in the same first batch; the
-    batch that follows has no data and only emits.
+    ``base`` names a folder with the state of earlier calls, to go on from there; ``finish`` says that
+    the input is complete, so the sessions still open close by timeout.
     """
-    spark = messages.sparkSession
-    lines = transcript_lines(messages, workspaces)
-    base = shared_path(spark, "conversations")
-    last = spark.range(1).select(F.lit("2200-01-01 00:00:00").cast("timestamp").alias("event_time"))
-    last.write.parquet(f"{base}/clock")
-    clock = spark.readStream.schema("event_time timestamp").parquet(f"{base}/clock")
+    spark = lines.sparkSession
+    base = base or shared_path(spark, "conversations")
+    # the clock is a second, still empty file stream; its row lies past every event time
+    clock_at, shape = f"{base}/clock", "event_time timestamp"
+    spark.createDataFrame([], shape).write.mode("ignore").parquet(clock_at)
+    clock = spark.readStream.schema(shape).parquet(clock_at)
     clock = clock.select(*[(F.col(f.name) if f.name == "event_time" else F.lit(None).cast(f.dataType).alias(f.name)) for f in lines.schema.fields])
     # no filter on the key here: it would be pushed below the watermark and take the clock row away;
     # the clock's own window lies past every watermark and is never emitted
     closed = closed_sessions(lines.unionByName(clock), gap, delay)
-    query = (
-        closed.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
-        .option("path", f"{base}/closed").option("checkpointLocation", f"{base}/state").start()
-    )
-    query.awaitTermination()
+
+    def drain() -> None:
+        closed.writeStream.format("parquet").outputMode("append").trigger(availableNow=True).option("path", f"{base}/closed").option("checkpointLocation", f"{base}/state").start().awaitTermination()
+
+    drain()
+    if finish:
+        spark.range(1).select(F.lit(_CLOCK).cast("timestamp").alias("event_time")).write.mode("append").parquet(clock_at)
+        drain()
     return spark.read.schema(closed.schema).parquet(f"{base}/closed")
 
 
@@ -152,22 +164,35 @@ def _long_turns(lines: DataFrame) -> DataFrame:
     return ranked.join(kept, "session_id").select("session_id", (F.col("place") + 1).alias("turn_no"), "row_id")
 
 
-def conversation_turns(messages: DataFrame, stream: DataFrame, workspaces: DataFrame, max_lines: int = 20_000) -> DataFrame:
+def with_parts(lines: DataFrame, long_sessions: DataFrame | None, max_lines: int) -> DataFrame:
+    """``lines`` plus ``part``: null, or the number of the part of a long session (about ``max_lines`` lines each)."""
+    if long_sessions is None:
+        return lines.withColumn("part", F.lit(None).cast("int"))
+    parts = F.ceil(F.col("count") / max_lines)
+    return lines.join(long_sessions, "session_id", "left").withColumn("part", F.pmod(F.xxhash64("row_id"), parts).cast("int")).drop("count")
+
+
+def conversation_turns(messages: DataFrame, stream: DataFrame, workspaces: DataFrame, max_lines: int = 20_000, gap: str = "30 days", delay: str = "30 days") -> DataFrame:
     """(``session_id``, ``turn_no``, ``row_id``) of every visible message of each sound session.
 
-    ``messages`` and ``stream`` are the same rows, as a table (for the count that finds oversized
-    sessions, of one column) and as a stream.
+    ``messages`` and ``stream`` are the same rows, as a table and as a stream. Of the table only the
+    session ids are counted, and lines that the state refused as too late are taken.
     """
-    long_ids = messages.where("session_id is not null").groupBy("session_id").count().where(F.col("count") > max_lines).select("session_id")
+    counts = messages.where("session_id is not null").groupBy("session_id").count()
+    counts = written(counts, "session-counts")
+    long_ids = counts.where(F.col("count") > max_lines)
     some_long = not long_ids.isEmpty()
-    if some_long:  # counted once; how the joins with it run is left to its size
-        long_ids = written(long_ids, "long-sessions")
-        stream = stream.join(long_ids, "session_id", "left_anti")
-    closed = run_closed_sessions(stream, workspaces)
-    whole = closed.groupBy("session_id").agg(F.flatten(F.collect_list("lines")).alias("lines"))
+    parted = lambda rows: with_parts(transcript_lines(rows, workspaces), long_ids if some_long else None, max_lines)
+    closed = run_closed_sessions(parted(stream), gap, delay).where("session_id is not null")
+    late = (counts.agg(F.sum("count")).first()[0] or 0) - (closed.agg(F.sum("n")).first()[0] or 0)
+    if late:
+        known = closed.select(F.explode("lines.row_id").alias("row_id"))
+        missed = parted(messages).join(known, "row_id", "left_anti").select("session_id", "part", F.array(F.struct(*_LINE)).alias("lines"), F.lit(1).alias("n"))
+        closed = closed.unionByName(written(missed, "late-lines"))
+    whole = closed.where("part is null").groupBy("session_id").agg(F.flatten(F.collect_list("lines")).alias("lines"))
     turns = judged(whole).select("session_id", F.posexplode("turns").alias("p", "t")).select(
         "session_id", (F.col("p") + 1).cast("bigint").alias("turn_no"), F.col("t.row_id").alias("row_id")
     )
     if some_long:
-        turns = turns.unionByName(_long_turns(transcript_lines(messages.join(long_ids, "session_id"), workspaces)))
+        turns = turns.unionByName(_long_turns(closed.where("part is not null").select("session_id", F.inline("lines"))))
     return turns

@@ -1,4 +1,5 @@
 import datetime
+import shutil
 
 from mnemolake.llm import conversations as C
 
@@ -28,11 +29,12 @@ ROWS = [
 WANT = {("ok", 1, 2), ("ok", 2, 5), ("lost", 1, 71), ("lost", 2, 70), ("lost", 3, 73), ("template", 1, 90), ("template", 2, 91), ("long", 1, 96), ("long", 2, 97)}
 
 
-def turns(spark, tmp_path, rows, **kw):
-    df = spark.createDataFrame(rows, SHAPE)
-    df.write.mode("overwrite").parquet(str(tmp_path / "m"))
+def turns(spark, tmp_path, *batches, **kw):
+    shutil.rmtree(tmp_path / "m", ignore_errors=True)
+    for rows in batches:  # one file, and so one micro-batch, each
+        spark.createDataFrame(rows, SHAPE).coalesce(1).write.mode("append").parquet(str(tmp_path / "m"))
     spaces = spark.createDataFrame([("w", '{"timezone": "UTC"}')], "id string, metadata string")
-    stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "m"))
+    stream = spark.readStream.schema(SHAPE).option("maxFilesPerTrigger", 1 if len(batches) > 1 else 100).parquet(str(tmp_path / "m"))
     return {tuple(r) for r in C.conversation_turns(spark.read.parquet(str(tmp_path / "m")), stream, spaces, **kw).collect()}
 
 
@@ -43,3 +45,16 @@ def test_cases_and_the_long_way(spark, tmp_path):
 
 def test_empty(spark, tmp_path):
     assert turns(spark, tmp_path, []) == set()
+
+
+def test_far_dates_and_late_lines_in_three_batches(spark, tmp_path):
+    """A line dated 9999 moves no clock, and lines that come after their session was closed still count."""
+    at = lambda n, session, line, role, day, stamp: (*row(n, session, line, role, f"t{n}", stamp)[:9], datetime.datetime(2026, day, 1), "x", 1, 2)
+    first = [at(1, "far", 1, "user", 1, "2026-01-01T00:00:00Z"), at(2, "far", 2, "ai", 1, "9999-01-01T00:00:00Z"), at(3, "late", 1, "user", 1, "2026-01-02T00:00:00Z")]
+    second = [at(4, "new", 1, "user", 9, "2026-09-01T00:00:00Z"), at(5, "new", 2, "ai", 9, "2026-09-01T00:00:01Z")]
+    third = [at(6, "late", 2, "ai", 1, "2026-01-02T00:00:05Z"), at(7, "old", 1, "user", 1, "0001-01-01T00:00:00Z"), at(8, "old", 2, "ai", 1, "2026-01-01T00:00:00Z")]
+    want = {("far", 1, 1), ("far", 2, 2), ("late", 1, 3), ("late", 2, 6), ("new", 1, 4), ("new", 2, 5), ("old", 1, 7), ("old", 2, 8)}
+    assert turns(spark, tmp_path, first + second + third) == want
+    assert turns(spark, tmp_path, first, second, third) == want
+    assert turns(spark, tmp_path, first, second, third, max_lines=1, delay="1 day", gap="1 day") == want
+    assert turns(spark, tmp_path, first, second, ROWS) >= WANT
