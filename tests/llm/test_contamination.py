@@ -29,3 +29,17 @@ def test_reparameterised(spark):
         (3, "When the keeper Orzan left Mossar with 14 pots he came back to Mossar after 3 days."),  # verbatim
     ], "doc_id bigint, text string")
     assert [(r["doc_id"], r["item_id"]) for r in C.reparameterised_leaks(docs, items).collect()] == [(1, 1)]
+
+
+def test_an_edited_word_hides_neither_run(spark):
+    twin = "Orzan sold {a} cups to Mossar and kept {b} cups for the long winter {w} then Orzan walked {a} miles to the old town where nobody knew that he kept {b} cups"
+    items = spark.createDataFrame([(1, twin.format(a=3, b=5, w="and"), None)], "item_id bigint, passage string, question string")
+    docs = spark.createDataFrame([(1, twin.format(a=8, b=9, w="but")), (2, "unrelated " * 40)], "doc_id bigint, text string")
+    assert [(r["doc_id"], r["item_id"]) for r in C.reparameterised_leaks(docs, items).collect()] == [(1, 1)]
+
+
+def test_tables_of_numbers_stay_linear(spark):
+    items = spark.createDataFrame([(1, None, " ".join(map(str, range(15))))], "item_id bigint, passage string, question string")
+    docs = spark.createDataFrame([(1, " ".join(map(str, range(1_000, 5_000))))], "doc_id bigint, text string")
+    pairs = C.aligned_windows(docs, items, 13)
+    assert pairs.count() == 3 * 3_988 and "_w" not in pairs.columns and C.verbatim_leaks(docs, items).count() == 0
