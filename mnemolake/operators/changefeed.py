@@ -10,10 +10,16 @@ log holds attempts that were made again after they had succeeded:
    item is not alive, any other change if its ``before`` version is the item's current version.
 
 Only (versions, content hash) of the JSON images enter a shuffle. Step 2 folds short histories
-in JVM arrays. An item with more than ``max_history`` changes is cut along its time axis into
-segments of bounded size; every segment is summed up as the function from "state before" to
-"state after", the few functions of an item are chained, and the segments are then replayed from
-their known entry states. So no group is ever collected whole, and the result is the same.
+in JVM arrays; the fold knows the image that each change replaces, so every effective change gives
+its two signed images, and images of one version with different content stay apart. A ``base`` is
+the change before all others: its images are inserts that come first.
+
+An item with more than ``max_history`` changes is cut by exact distributed ranks into segments of
+``segment_size`` changes, whatever its history's length and however many changes share an instant.
+Every segment is summed up as the function from "state before" to "state after" (entries that no
+earlier segment can produce are left out), and the functions are composed in pairs, by joins, until
+one is left: inside a segment and between segments the signed images cancel, so its value for an
+item that is not alive is the whole sum. No group is ever collected whole.
 
 Defined results: null item id or null change id: a null ``item_id`` is no item change and is
 ignored; a null change ``id`` makes each distinct row its own change. Unreadable images have null
@@ -27,10 +33,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mnemolake.functions.ranks import group_rank
 from mnemolake.runtime import written
 
 DEAD = "dead"
-_CHANGE = "struct<created_at:timestamp,before_version:bigint,id:string,kind:string,after_version:bigint,content_sha256:string>"
+ORDER = ["created_at", "before_version", "id", "kind", "after_version", "content_sha256"]
+_IMAGE = "struct<version:bigint,content_sha256:string,times:int>"
 
 
 def item_changes(log: DataFrame) -> DataFrame:
@@ -48,111 +56,97 @@ def item_changes(log: DataFrame) -> DataFrame:
         F.when(kind.isin("insert", "update"), content).alias("content_sha256"),
     )
     own = F.coalesce("id", F.concat(F.lit("?"), F.xxhash64("created_at", "before_version", "kind", "after_version", "content_sha256").cast("string")))
-    order = F.struct("created_at", "before_version", "id", "kind", "after_version", "content_sha256")
-    return rows.groupBy("item_id", own.alias("change")).agg(F.min(order).alias("c")).select("item_id", "c.*")
+    return rows.groupBy("item_id", own.alias("change")).agg(F.min(F.struct(*ORDER)).alias("c")).select("item_id", "c.*")
 
 
-def _effective_short(changes: DataFrame) -> DataFrame:
-    """Fold whole histories; gives the changes that take effect, with their place in the order."""
-    history = changes.groupBy("item_id").agg(F.array_sort(F.collect_list(F.struct(
-        "created_at", "before_version", "id", "kind", "after_version", "content_sha256"
-    ))).alias("h"))
+def _signed_short(changes: DataFrame) -> DataFrame:
+    """Fold whole histories; gives the signed images (``item_id``, ``version``, ``content_sha256``, ``times``) of the effective changes."""
+    history = changes.groupBy("item_id").agg(F.array_sort(F.collect_list(F.struct(*ORDER))).alias("h"))
+    minus = "struct(s.v as version, s.c as content_sha256, -1 as times)"
+    plus = "struct(c.after_version as version, c.content_sha256 as content_sha256, 1 as times)"
     fold = f"""
-        aggregate(h, struct(false as alive, cast(null as bigint) as v, 0 as n, cast(array() as array<struct<n:int,c:{_CHANGE}>>) as done),
+        aggregate(h, struct(false as alive, cast(null as bigint) as v, cast(null as string) as c, cast(array() as array<{_IMAGE}>) as done),
           (s, c) -> if(
             if(c.kind = 'insert', not s.alive, s.alive and coalesce(c.before_version = s.v, false)),
-            struct(c.kind in ('insert', 'update') as alive, c.after_version as v, s.n + 1 as n, concat(s.done, array(struct(s.n as n, c as c))) as done),
+            if(c.kind in ('insert', 'update'),
+              struct(true as alive, c.after_version as v, c.content_sha256 as c, concat(s.done, if(s.alive, array({minus}, {plus}), array({plus}))) as done),
+              struct(false as alive, cast(null as bigint) as v, cast(null as string) as c, concat(s.done, array({minus})) as done)),
             s), s -> s.done)
     """
-    return history.select("item_id", F.inline(F.expr(fold))).select("item_id", F.col("n").cast("bigint").alias("place"), "c.*")
+    return history.select("item_id", F.inline(F.expr(fold)))
 
 
 def _segment_function(rows: pd.DataFrame) -> pd.DataFrame:
     """Exit state of a segment for every entry state it can act on; one backward pass."""
-    rows = rows.sort_values(["created_at", "before_version", "id"], na_position="first", kind="stable")
-    after: dict = {}  # version -> exit state when entered alive in it; absent: unchanged
-    dead: object = DEAD
-    for kind, before, then in zip(rows["kind"][::-1], rows["before_version"][::-1], rows["after_version"][::-1]):
+    rows = rows.sort_values("rank", kind="stable")
+    after: dict = {}  # version -> exit when entered alive in it; absent: unchanged
+    dead: tuple = (DEAD, None)
+    for kind, before, then, content in zip(rows["kind"][::-1], rows["before_version"][::-1], rows["after_version"][::-1], rows["content_sha256"][::-1]):
         reached = _state(then)
+        leaves = after.get(reached, (reached, content))
         if kind == "insert":
-            dead = after.get(reached, reached)
+            dead = leaves
         elif pd.notna(before):
-            after[_state(before)] = after.get(reached, reached) if kind == "update" else dead
+            after[_state(before)] = leaves if kind == "update" else dead
     pairs = [(DEAD, dead), *after.items()]
     first = rows.iloc[0]
-    return pd.DataFrame({"item_id": first["item_id"], "segment": first["segment"], "entry": [str(a) for a, _ in pairs], "exit": [str(b) for _, b in pairs]})
+    return pd.DataFrame({"item_id": first["item_id"], "segment": first["segment"], "entry": [a for a, _ in pairs], "exit": [b[0] for _, b in pairs], "content_sha256": [b[1] for _, b in pairs]})
 
 
 def _state(version) -> str:
     return "null" if pd.isna(version) else str(int(version))
 
 
-def _chain(rows: pd.DataFrame) -> pd.DataFrame:
-    """Entry state of each segment of one item; a segment brings at most as many rows as it has versions."""
-    state, out = DEAD, []
-    for segment, part in rows.groupby("segment", sort=True):
-        out.append((rows["item_id"].iloc[0], segment, state))
-        state = dict(zip(part["entry"], part["exit"])).get(state, state)
-    return pd.DataFrame(out, columns=["item_id", "segment", "entry"])
-
-
-def _replay(rows: pd.DataFrame) -> pd.DataFrame:
-    rows = rows.sort_values(["created_at", "before_version", "id"], na_position="first", kind="stable").reset_index(drop=True)
-    state, kept = rows["entry"].iloc[0], []
-    for i, (kind, before, then) in enumerate(zip(rows["kind"], rows["before_version"], rows["after_version"])):
-        if (state == DEAD) if kind == "insert" else (pd.notna(before) and state == _state(before)):
-            state = _state(then) if kind in ("insert", "update") else DEAD
-            kept.append(i)
-    out = rows.iloc[kept].copy()
-    out["place"] = out["segment"].astype("int64") * (1 << 32) + out.index.astype("int64")
-    return out.drop(columns=["entry", "segment"])
-
-
-def _effective_long(changes: DataFrame, long_items: DataFrame, segment_size: int) -> DataFrame:
-    """The same for histories too long for one array."""
-    shape = changes.schema
-    cuts = long_items.select("item_id", "cuts")
-    seen = F.coalesce(F.col("created_at").cast("double"), F.lit(float("-inf")))
-    parts = written(
-        changes.join(cuts, "item_id").withColumn("_at", seen).withColumn("segment", F.expr("cast(size(filter(cuts, c -> c < _at)) as int)")).drop("cuts", "_at"),
-        "changefeed-segments",
-    )
-    functions = parts.groupBy("item_id", "segment").applyInPandas(_segment_function, "item_id string, segment int, entry string, exit string")
-    entries = functions.groupBy("item_id").applyInPandas(_chain, "item_id string, segment int, entry string")
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in shape.fields)
-    kept = parts.join(entries, ["item_id", "segment"]).groupBy("item_id", "segment").applyInPandas(_replay, f"{fields}, place bigint")
-    return kept.select("item_id", "place", *[c for c in shape.names if c != "item_id"])
-
-
-def effective_changes(log: DataFrame, max_history: int = 1_000, segment_size: int = 20_000) -> DataFrame:
-    """The changes that take effect: (``item_id``, ``place``, change columns)."""
+def _composed(functions: DataFrame) -> DataFrame:
+    """Functions of neighbouring segments (2n, 2n + 1) put together, row by row."""
+    pair = functions.withColumn("pair", F.floor(F.col("segment") / 2).cast("bigint"))
+    left = pair.where("segment % 2 = 0").select("item_id", "pair", "entry", "exit", "content_sha256")
+    right = pair.where("segment % 2 = 1")
+    onward = right.select("item_id", "pair", F.col("entry").alias("exit"), F.col("exit").alias("_exit"), F.col("content_sha256").alias("_content"))
+    moved = F.col("_exit").isNotNull()
+    first = left.join(onward, ["item_id", "pair", "exit"], "left").select(
+        "item_id", F.col("pair").alias("segment"), "entry", F.when(moved, F.col("_exit")).otherwise(F.col("exit")).alias("exit"), F.when(moved, F.col("_content")).otherwise(F.col("content_sha256")).alias("content_sha256")
+    )
+    # what the left one leaves as it is enters the right one
+    passed = right.join(left.select("item_id", "pair", "entry"), ["item_id", "pair", "entry"], "left_anti")
+    return first.unionByName(passed.select("item_id", F.col("pair").alias("segment"), "entry", "exit", "content_sha256"))
+
+
+def _signed_long(changes: DataFrame, segment_size: int) -> DataFrame:
+    """The sum of signed images of histories too long for one array."""
+    ranked = group_rank(changes, ["item_id"], [F.col(c).asc_nulls_first() for c in ORDER], "rank")
+    parts = written(ranked.withColumn("segment", F.floor(F.col("rank") / segment_size).cast("bigint")), "changefeed-segments")
+    functions = parts.groupBy("item_id", "segment").applyInPandas(_segment_function, "item_id string, segment bigint, entry string, exit string, content_sha256 string")
+    # a version is an entry of a segment only if an earlier segment can leave it
+    made = parts.where("kind in ('insert', 'update')").groupBy("item_id", F.coalesce(F.col("after_version").cast("string"), F.lit("null")).alias("entry")).agg(F.min("segment").alias("_made"))
+    functions = functions.join(made, ["item_id", "entry"], "left").where((F.col("entry") == DEAD) | (F.col("_made") < F.col("segment"))).drop("_made")
+    functions = written(functions, "changefeed-functions")
+    last = parts.agg(F.max("segment")).first()[0] or 0
+    while last > 0:
+        functions, last = written(_composed(functions), "changefeed-composed"), last // 2
+    alive = functions.where((F.col("entry") == DEAD) & (F.col("exit") != DEAD))
+    return alive.select("item_id", F.col("exit").try_cast("bigint").alias("version"), "content_sha256", F.lit(1).alias("times"))
+
+
+def signed_images(log: DataFrame, base: DataFrame | None = None, max_history: int = 1_000, segment_size: int = 20_000) -> DataFrame:
+    """(``item_id``, ``version``, ``content_sha256``, ``times``): signed images of the changes that take effect, with the base."""
     changes = item_changes(log)
     # counted on the bare key column; repeated rows count too, which only sends more items the long way
     counts = log.where("item_id is not null").groupBy("item_id").agg(F.count("*").alias("n")).where(F.col("n") > max_history)
+    if base is not None:
+        first = base.select("item_id", F.lit(None).cast("timestamp").alias("created_at"), F.lit(None).cast("bigint").alias("before_version"), F.lit("").alias("id"), F.lit("insert").alias("kind"), F.col("version").cast("bigint").alias("after_version"), "content_sha256")
+        changes = changes.unionByName(first)
     if counts.isEmpty():
-        return _effective_short(changes)
-    changes = written(changes, "changefeed-changes")
-    seen = F.coalesce(F.col("created_at").cast("double"), F.lit(float("-inf")))
-    at = changes.join(counts, "item_id").withColumn("_at", seen)
-    shares = F.expr(f"transform(sequence(1, greatest(1, cast(ceil(n / {segment_size}) as int) - 1)), i -> i / ceil(n / {segment_size}))")
-    # shares differ per item, so the quantiles are taken from a fixed fine grid and thinned afterwards
-    grid = at.groupBy("item_id").agg(F.max("n").alias("n"), F.percentile_approx("_at", [i / 256 for i in range(1, 256)], 4096).alias("grid"))
-    wanted = F.expr("array_distinct(transform(shares, s -> element_at(grid, greatest(1, least(255, cast(round(s * 256) as int))))))")
-    long_items = written(grid.withColumn("shares", shares).select("item_id", wanted.alias("cuts")), "changefeed-cuts")
-    short = changes.join(long_items.select("item_id"), "item_id", "left_anti")
-    return _effective_short(short).unionByName(_effective_long(changes, long_items, segment_size))
+        return _signed_short(changes)
+    changes, long_items = written(changes, "changefeed-changes"), written(counts.select("item_id"), "changefeed-long")
+    short = changes.join(long_items, "item_id", "left_anti")
+    return _signed_short(short).unionByName(_signed_long(changes.join(long_items, "item_id", "left_semi"), segment_size))
 
 
 def current_state(log: DataFrame, base: DataFrame | None = None, max_history: int = 1_000, segment_size: int = 20_000) -> DataFrame:
     """(``item_id``, ``version``, ``content_sha256``) of the items alive after all changes.
 
-    ``base`` (same columns) holds images that were there before the log's first change.
+    ``base`` (same columns, one row an item) holds images that were there before the log's first change.
     """
-    done = effective_changes(log, max_history, segment_size)
-    plus = F.when(F.col("kind").isin("insert", "update"), F.struct(F.col("after_version").alias("version"), F.lit(1).alias("times"), F.col("place"), F.col("content_sha256")))
-    minus = F.when(F.col("kind") != "insert", F.struct(F.col("before_version").alias("version"), F.lit(-1).alias("times"), F.lit(None).cast("bigint").alias("place"), F.lit(None).cast("string").alias("content_sha256")))
-    signed = done.select("item_id", F.inline(F.array_compact(F.array(plus, minus))))
-    if base is not None:
-        signed = signed.unionByName(base.select("item_id", "version", F.lit(1).alias("times"), F.lit(-1).cast("bigint").alias("place"), "content_sha256"))
-    summed = signed.groupBy("item_id", "version").agg(F.sum("times").alias("times"), F.max_by("content_sha256", "place").alias("content_sha256"))
+    summed = signed_images(log, base, max_history, segment_size).groupBy("item_id", "version", "content_sha256").agg(F.sum("times").alias("times"))
     return summed.where("times > 0").select("item_id", "version", "content_sha256")

@@ -58,3 +58,24 @@ def test_edges(spark):
     assert current_state(spark.createDataFrame([], SHAPE)).count() == 0
     base = spark.createDataFrame([("q", 4, "h")], "item_id string, version bigint, content_sha256 string")
     assert [tuple(r) for r in current_state(spark.createDataFrame([], SHAPE), base).collect()] == [("q", 4, "h")]
+
+
+def test_base_and_images_of_one_version(spark):
+    at = datetime(2026, 1, 1)
+    rows = [
+        ("a", "x", "insert", None, image(1, "old"), at, 0), ("b", "x", "delete", image(1, "old"), None, at + timedelta(1), 0),
+        ("c", "x", "insert", None, image(1, "new"), at + timedelta(2), 0), ("d", "q", "update", image(4, "?"), image(5, "then"), at, 0),
+    ]
+    base = spark.createDataFrame([("q", 4, "h"), ("r", 1, "k")], "item_id string, version bigint, content_sha256 string")
+    digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    for bound in ((1_000, 20_000), (0, 1)):
+        got = {tuple(r) for r in current_state(spark.createDataFrame(rows, SHAPE), base, *bound).collect()}
+        assert got == {("x", 1, digest("new")), ("q", 5, digest("then")), ("r", 1, "k")}
+
+
+def test_one_item_with_a_long_history_at_one_instant(spark):
+    n, at = 3_000, datetime(2026, 1, 1)
+    rows = [("c000000", "hot", "insert", None, image(1, "t1"), at, 0)] + [(f"c{i:06d}", "hot", "update", image(i, f"t{i}"), image(i + 1, f"t{i + 1}"), at, 0) for i in range(1, n)]
+    rows += [(f"d{i:06d}", "hot", "update", image(i, "again"), image(i + 1, "again"), at + timedelta(1), 0) for i in range(1, n, 7)]
+    got = [tuple(r) for r in current_state(spark.createDataFrame(rows, SHAPE), max_history=100, segment_size=150).collect()]
+    assert got == [("hot", n, hashlib.sha256(f"t{n}".encode()).hexdigest())]
