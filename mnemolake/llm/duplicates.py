@@ -7,7 +7,9 @@ level; lists keep their order.
 
 The ledger keeps, per canonical key, how many records carry it and its earliest representative
 (the smallest id). A batch is aggregated first (so a hot key is one row before any shuffle), then
-full-outer-joined with the ledger rows of the buckets it touches; untouched buckets are not read.
+full-outer-joined with the ledger rows of the buckets it touches; untouched buckets are not read,
+neither their counts nor their members. The ledger lives in a folder: a batch becomes part of it by
+the manifest written last, and a later process opens the folder and goes on.
 
 Defined results: null content equals only null content, null key only null key; text without any
 word (empty, blanks, punctuation) is the empty sequence; a record delivered again under the same id
@@ -19,13 +21,14 @@ from __future__ import annotations
 
 import json
 import re
+import uuid
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from mnemolake.runtime import shared_path
+from mnemolake.runtime import shared_path, written
 
 _WORD = re.compile(r"[^\W_]+")
 
@@ -88,18 +91,36 @@ def canonical_records(items: DataFrame, buckets: int) -> DataFrame:
 
 
 class DuplicateLedger:
-    """Counts and members per canonical key, kept as bucketed tables in the shared folder.
+    """Counts and members per canonical key, kept as bucketed tables in a folder (by default of the shared one).
 
     Each batch writes new tables of the buckets it touches and never overwrites any, so a job
-    that is lost half-way leaves the ledger as it was.
+    that is lost half-way leaves the ledger as it was. A folder that holds a ledger is opened with
+    the buckets it was made with.
     """
 
-    def __init__(self, spark: SparkSession, buckets: int = 8):
+    def __init__(self, spark: SparkSession, buckets: int = 16, path: str | None = None):
         self.spark, self.buckets = spark, buckets
-        self.path = shared_path(spark, "duplicate-ledger")
+        self.path = path or shared_path(spark, "duplicate-ledger")
         self.counts_at: dict[int, str] = {}  # bucket -> newest table of counts
         self.members_at: dict[int, list[str]] = {}  # bucket -> tables of members
         self.batches = 0
+        if path:
+            self._open()
+
+    def _open(self) -> None:
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.path}/manifest-*/_SUCCESS")
+        done = pattern.getFileSystem(conf).globStatus(pattern)
+        newest = max((f.getPath().getParent().toString() for f in done or []), default=None)
+        if newest:
+            said = json.loads(self.spark.read.text(newest).first()[0])
+            self.buckets, self.batches = said["buckets"], said["batches"]
+            self.counts_at = {int(b): p for b, p in said["counts"].items()}
+            self.members_at = {int(b): ps for b, ps in said["members"].items()}
+
+    def _commit(self) -> None:
+        said = json.dumps({"buckets": self.buckets, "batches": self.batches, "counts": self.counts_at, "members": self.members_at})
+        self.spark.createDataFrame([(said,)], "value string").coalesce(1).write.mode("overwrite").text(f"{self.path}/manifest-{self.batches:09d}")
 
     def _read(self, paths: list[str], schema: str) -> DataFrame:
         if not paths:
@@ -114,14 +135,23 @@ class DuplicateLedger:
 
     def apply(self, items: DataFrame) -> None:
         """Add one batch of records (``id``, ``content``, ``canonical_key``)."""
-        self.batches += 1
-        at = f"{self.path}/batch-{self.batches}"
-        fresh = canonical_records(items, self.buckets).groupBy("bucket", "key", "id").agg(F.lit(1).alias("one")).drop("one")
-        if self.members_at:
-            fresh = fresh.join(self.members(), ["key", "id"], "left_anti")
-        fresh.select("bucket", "key", "id").write.partitionBy("bucket").parquet(f"{at}/members")
-        new = self.spark.read.schema("key binary, id string, bucket int").parquet(f"{at}/members")
+        self.apply_records(canonical_records(items, self.buckets))
+
+    def apply_records(self, records: DataFrame) -> None:
+        """Add one batch of canonical records (``bucket``, ``key``, ``id``)."""
+        batch = self.batches + 1
+        at = f"{self.path}/batch-{batch}-{uuid.uuid4().hex[:8]}"  # a batch tried again leaves the lost one's tables alone
+        shape = "key binary, id string, bucket int"
+        self._distinct(records).write.partitionBy("bucket").parquet(f"{at}/arrived")
+        new, into = self.spark.read.schema(shape).parquet(f"{at}/arrived"), "arrived"
         touched = {int(r[0]) for r in new.select("bucket").distinct().collect()}  # at most ``buckets`` numbers
+        if touched & set(self.members_at):
+            known = self.members(touched)
+            new.join(known, ["key", "id"], "left_anti").write.partitionBy("bucket").parquet(f"{at}/members")
+            new, into = self.spark.read.schema(shape).parquet(f"{at}/members"), "members"
+            touched = {int(r[0]) for r in new.select("bucket").distinct().collect()}
+        if not touched:
+            return
         delta = new.groupBy("bucket", "key").agg(F.count("*").alias("more"), F.min("id").alias("least"))
         old = self.counts(touched & set(self.counts_at))
         merged = delta.join(old, "key", "full_outer") if set(self.counts_at) & touched else delta.withColumns({"copies": F.lit(0), "first_id": F.lit(None).cast("string")})
@@ -133,7 +163,13 @@ class DuplicateLedger:
         ).write.partitionBy("bucket").parquet(f"{at}/counts")
         for b in touched:
             self.counts_at[b] = f"{at}/counts/bucket={b}"
-            self.members_at.setdefault(b, []).append(f"{at}/members/bucket={b}")
+            self.members_at.setdefault(b, []).append(f"{at}/{into}/bucket={b}")
+        self.batches = batch
+        self._commit()
+
+    @staticmethod
+    def _distinct(records: DataFrame) -> DataFrame:
+        return records.groupBy("bucket", "key", "id").agg(F.lit(1).alias("one")).drop("one")
 
     def copies(self) -> DataFrame:
         """(``first_id``, ``copy_id``): every member of a group but its representative."""
@@ -145,9 +181,12 @@ class DuplicateLedger:
         return self.counts().select("first_id", "copies")
 
 
-def build_ledger(items: DataFrame, batches: int = 2, buckets: int = 8) -> DuplicateLedger:
-    """Feed a whole table in ``batches`` parts, as if it had arrived in that many deliveries."""
+def build_ledger(items: DataFrame, batches: int = 2, buckets: int = 16) -> DuplicateLedger:
+    """Feed a whole table in ``batches`` parts, as if it had arrived in that many deliveries; the table is read once."""
     ledger = DuplicateLedger(items.sparkSession, buckets)
+    records = canonical_records(items, buckets)
+    if batches > 1:
+        records = written(records.withColumn("batch", F.pmod(F.xxhash64("id"), F.lit(batches)).cast("int")), "canonical-records")
     for i in range(batches):
-        ledger.apply(items.where(F.pmod(F.xxhash64("id"), F.lit(batches)) == i))
+        ledger.apply_records(records.where(F.col("batch") == i).drop("batch") if batches > 1 else records)
     return ledger

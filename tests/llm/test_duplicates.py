@@ -30,3 +30,15 @@ def test_same_delivery_again_and_empty(spark):
     ledger.apply(frame(spark, []))
     assert {tuple(r) for r in ledger.copies().collect()} == PAIRS
     assert D.build_ledger(frame(spark, [])).copies().count() == 0
+
+
+def test_reopened_ledger_reads_touched_buckets_only(spark, tmp_path):
+    at = f"file://{tmp_path}/ledger"
+    D.DuplicateLedger(spark, 64, at).apply(frame(spark, ROWS))
+    again = D.DuplicateLedger(spark, 3, at)
+    assert again.buckets == 64 and again.batches == 1
+    asked, members = [], again.members
+    again.members = lambda only=None: asked.append(only) or members(only)
+    again.apply(frame(spark, [("a0", "THE DEADLINE MOVED", "law key"), ("a", "The deadline moved", "law key")]))
+    assert [len(b) for b in asked] == [1]
+    assert {tuple(r) for r in D.DuplicateLedger(spark, path=at).copies().collect()} == (PAIRS - {("a", "b")}) | {("a", "b"), ("a", "a0")}
