@@ -4,8 +4,9 @@ Shape of the search
 -------------------
 1. Usable vectors are reduced to their direction in 16-bit steps; vectors with the same direction
    are one representative, so a group of copies of any size is one row from here on.
-2. Centroids are fitted per profile on a bounded, documented sample (``fit_sample`` vectors) and
-   balanced: a centroid with too much of the sample is split, so lists hold about ``list_size``.
+2. Centroids are fitted per profile, on the executors, on a bounded, documented sample (about
+   ``fit_sample`` vectors of the profile, all where it has fewer, chosen by hash) and balanced: a
+   centroid with too much of the sample is split, so lists hold about ``list_size``.
 3. Centroids are the nodes of an in-memory neighbour graph. Each vector walks it by beam search and
    joins the lists of its nearest centroids: the nearest one, and others as long as their distance
    is within ``ratio`` of the nearest (vectors near a boundary are so replicated, at most
@@ -15,8 +16,9 @@ Shape of the search
 5. The best of all lists are merged per representative and turned into ids; copies take the
    smallest ids of their own group first.
 
-Every vector is indexed and every usable vector is a query. Centroids and graph are bounded by
-``max_lists`` per profile (they are sent to the executors: 64 k lists of 64 numbers are 16 MB).
+Every vector is indexed and every usable vector is a query. Centroids and graph links of all
+profiles are one table. It is broadcast if it is smaller than ``broadcast_bytes``; beyond (very many
+large profiles) vectors meet the centroids of their own profile by a cogroup on (profile, salt).
 
 Defined results: unusable vectors (null, of another length than ``dimensions``, with null, NaN or
 infinite numbers, or all zero) are neither queries nor answers; rows with a null id or profile are
@@ -37,6 +39,9 @@ from mnemolake.functions.timestamps import once
 from mnemolake.runtime import written
 
 STEP = 32767.0
+MEET = 300_000  # vectors of a profile that meet its centroids in one task, where these are not broadcast
+CENTROID = "profile_key string, list int, c binary, links binary, door boolean, blocks int"
+IN_LISTS = "profile_key string, list int, g bigint, q binary, mb int, qb int, role int"
 
 
 def usable_vectors(embeddings: DataFrame) -> DataFrame:
@@ -87,7 +92,8 @@ def fit_centroids(x: np.ndarray, lists: int, rounds: int = 8, seed: int = 7) ->
 
 
 def _nearest(x: np.ndarray, c: np.ndarray) -> np.ndarray:
-    return np.concatenate([np.argmax(x[i : i + 4096] @ c.T, axis=1) for i in range(0, len(x), 4096)])
+    step = max(16, (1 << 24) // max(1, len(c)))  # 64 MB of similarities at a time
+    return np.concatenate([np.argmax(x[i : i + step] @ c.T, axis=1) for i in range(0, len(x), step)])
 
 
 def _means(x: np.ndarray, own: np.ndarray, k: int, before: np.ndarray) -> np.ndarray:
@@ -103,14 +109,25 @@ def _means(x: np.ndarray, own: np.ndarray, k: int, before: np.ndarray) -> np.nda
 class CentroidGraph:
     """Neighbour graph over centroids with beam search for many queries at once."""
 
-    def __init__(self, c: np.ndarray, degree: int = 24, seed: int = 3):
-        self.c = c
+    def __init__(self, c: np.ndarray, links: np.ndarray, doors: np.ndarray, blocks: np.ndarray):
+        self.c, self.links, self.doors, self.blocks = c, links, doors, blocks
+
+    @staticmethod
+    def linked(c: np.ndarray, degree: int = 24) -> np.ndarray:
+        """The nearest ``degree`` centroids of each, itself among them."""
         k = len(c)
         degree = min(degree, k - 1) if k > 1 else 0
-        links = [np.argpartition(-(c[i : i + 2048] @ c.T), degree, axis=1)[:, : degree + 1] for i in range(0, k, 2048)] if degree else []
-        self.links = np.vstack(links).astype(np.int32) if links else np.zeros((k, 1), np.int32)
-        rng = np.random.default_rng(seed)
-        self.doors = rng.choice(k, min(k, 8 + 2 * int(np.sqrt(k))), replace=False).astype(np.int32)
+        step = max(16, (1 << 24) // k)
+        links = [np.argpartition(-(c[i : i + step] @ c.T), degree, axis=1)[:, : degree + 1] for i in range(0, k, step)] if degree else []
+        return np.vstack(links).astype(np.int32) if links else np.zeros((k, 1), np.int32)
+
+    @classmethod
+    def of(cls, rows: pd.DataFrame) -> CentroidGraph:
+        """The graph of one profile from its rows of ``CENTROID``."""
+        rows = rows.sort_values("list")
+        c = np.frombuffer(b"".join(rows["c"]), np.float32).reshape(len(rows), -1)
+        links = np.frombuffer(b"".join(rows["links"]), np.int32).reshape(len(rows), -1)
+        return cls(c, links, np.flatnonzero(rows["door"].to_numpy()).astype(np.int32), rows["blocks"].to_numpy().astype(np.int32))
 
     def search(self, x: np.ndarray, beam: int, steps: int = 4) -> tuple[np.ndarray, np.ndarray]:
         """Ids and similarities of the ``beam`` best centroids found for each row, best first."""
@@ -135,35 +152,66 @@ class CentroidGraph:
         return ids, found
 
 
-def _assigner(graphs: dict, replicas: int, ratio: float, blocks: dict):
-    """mapInPandas step: the rows of each vector in its lists."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for profile, part in batch.groupby("profile_key", sort=False):
-                graph: CentroidGraph = graphs.value[profile]
-                for i in range(0, len(part), 512):
-                    chunk = part.iloc[i : i + 512]
-                    q = np.stack(chunk["q"].to_numpy()).astype(np.int16)
-                    ids, sims = graph.search(_unit(q), beam=max(8, 2 * replicas))
-                    ids, sims = ids[:, :replicas], sims[:, :replicas]
-                    far = np.sqrt(np.maximum(2 - 2 * sims, 0))
-                    near = far <= far[:, :1] * ratio + 1e-6
-                    near &= np.isfinite(sims)
-                    row, col = np.nonzero(near)
-                    out.append(pd.DataFrame({
-                        "profile_key": profile, "list": ids[row, col].astype(np.int32),
-                        "g": chunk["g"].to_numpy()[row], "q": [q[r].tobytes() for r in row],
-                    }))
-            if out:
-                rows = pd.concat(out, ignore_index=True)
-                n = np.array([blocks.value.get((p, l), 1) for p, l in zip(rows["profile_key"], rows["list"])], dtype=np.int32)
-                yield _spread(rows, n)
+def _fitter(list_size: int, max_lists: int):
+    """applyInPandas step: centroids, links and block counts of one profile from its sample."""
+
+    def run(sample: pd.DataFrame) -> pd.DataFrame:
+        n = int(sample["n"].iloc[0])
+        x = _unit(np.stack(sample.sort_values("g")["q"].to_numpy()))
+        c = fit_centroids(x, min(max_lists, int(np.ceil(n / list_size))))
+        links, k = CentroidGraph.linked(c), len(c)
+        door = np.zeros(k, bool)
+        door[np.random.default_rng(3).choice(k, min(k, 8 + 2 * int(np.sqrt(k))), replace=False)] = True
+        share = np.bincount(_nearest(x, c), minlength=k) * (n / len(x))
+        blocks = np.where(share > 16 * list_size, np.ceil(share / (16 * list_size)), 1).astype(np.int32)
+        return pd.DataFrame({"profile_key": sample["profile_key"].iloc[0], "list": np.arange(k, dtype=np.int32), "c": [r.tobytes() for r in c], "links": [r.tobytes() for r in links], "door": door, "blocks": blocks})
 
     return run
 
 
+def _in_lists(graph: CentroidGraph, vectors: pd.DataFrame, replicas: int, ratio: float) -> Iterator[pd.DataFrame]:
+    """The rows of each vector of one profile in its lists."""
+    for i in range(0, len(vectors), 512):
+        chunk = vectors.iloc[i : i + 512]
+        q = np.stack(chunk["q"].to_numpy()).astype(np.int16)
+        ids, sims = graph.search(_unit(q), beam=max(8, 2 * replicas))
+        ids, sims = ids[:, :replicas], sims[:, :replicas]
+        far = np.sqrt(np.maximum(2 - 2 * sims, 0))
+        near = far <= far[:, :1] * ratio + 1e-6
+        near &= np.isfinite(sims)
+        row, col = np.nonzero(near)
+        rows = pd.DataFrame({
+            "profile_key": chunk["profile_key"].iloc[0], "list": ids[row, col].astype(np.int32),
+            "g": chunk["g"].to_numpy()[row], "q": [q[r].tobytes() for r in row],
+        })
+        yield _spread(rows, graph.blocks[rows["list"].to_numpy()])
+
+
+def _assigned(reps: DataFrame, sizes: DataFrame, centroids: DataFrame, replicas: int, ratio: float, broadcast_bytes: int) -> DataFrame:
+    spark = reps.sparkSession
+    total = centroids.agg(F.sum(F.octet_length("c") + F.octet_length("links") + 64)).first()[0] or 0
+    if total <= broadcast_bytes:
+        graphs = {p: CentroidGraph.of(rows) for p, rows in centroids.toPandas().groupby("profile_key", sort=False)}
+        sent = spark.sparkContext.broadcast(graphs)
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                out = [rows for profile, part in batch.groupby("profile_key", sort=False) for rows in _in_lists(sent.value[profile], part, replicas, ratio)]
+                if out:
+                    yield pd.concat(out, ignore_index=True)
+
+        return reps.mapInPandas(run, IN_LISTS)
+
+    def meet(vectors: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        parts = list(_in_lists(CentroidGraph.of(rows), vectors, replicas, ratio)) if len(vectors) else []
+        return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame({"profile_key": [], "list": [], "g": [], "q": [], "mb": [], "qb": [], "role": []})
+
+    salts = sizes.select("profile_key", F.ceil(F.col("n") / MEET).cast("int").alias("salts"))
+    salted = reps.join(salts, "profile_key").withColumn("salt", F.pmod("g", F.col("salts")).cast("int")).drop("salts")
+    everywhere = centroids.join(salts, "profile_key").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+    return salted.groupBy("profile_key", "salt").cogroup(everywhere.groupBy("profile_key", "salt")).applyInPandas(meet, IN_LISTS)
+
+
 def _spread(rows: pd.DataFrame, n: np.ndarray) -> pd.DataFrame:
     """A list of ``n`` blocks has n*n cells (block of members, block of queries); role 3 is both."""
     own = (rows["g"].to_numpy() % np.maximum(n, 1)).astype(np.int32)
@@ -203,32 +251,17 @@ def _search_cell(k: int):
 
 
 def neighbour_pairs(
-    embeddings: DataFrame, k: int = 5, list_size: int = 256, replicas: int = 3, ratio: float = 1.15, fit_sample: int = 60_000, max_lists: int = 65_536
+    embeddings: DataFrame, k: int = 5, list_size: int = 256, replicas: int = 3, ratio: float = 1.15, fit_sample: int = 60_000, max_lists: int = 65_536, broadcast_bytes: int = 128 << 20
 ) -> DataFrame:
     """(``profile_key``, ``left_id``, ``right_id``): pairs where one is among the other's ``k`` most similar."""
-    spark = embeddings.sparkSession
     v = usable_vectors(embeddings)
     members = written(v.groupBy("profile_key", "g", "id").agg(F.lit(1).alias("one")).drop("one"), "vector-members")
     reps = written(v.groupBy("profile_key", "g").agg(F.first("q").alias("q")), "vector-representatives")
 
-    sizes = {r["profile_key"]: r["n"] for r in reps.groupBy("profile_key").agg(F.count("*").alias("n")).collect()}  # one row per profile
-    total = sum(sizes.values()) or 1
-    keep = max(1, int(np.ceil(total / fit_sample)))
-    sample = reps.where(F.pmod(F.hash(F.col("g")), F.lit(keep)) == 0).limit(2 * fit_sample).toPandas()
-    graphs, blocks = {}, {}
-    for profile, n in sizes.items():
-        part = sample[sample["profile_key"] == profile]
-        if not len(part):  # a small profile that the sample missed
-            part = reps.where(F.col("profile_key") == profile).limit(1_000).toPandas()
-        x = _unit(np.stack(part["q"].to_numpy()))
-        c = fit_centroids(x, min(max_lists, int(np.ceil(n / list_size))))
-        graphs[profile] = CentroidGraph(c)
-        share = np.bincount(_nearest(x, c), minlength=len(c)) * (n / len(x))
-        blocks |= {(profile, int(i)): int(np.ceil(s / (16 * list_size))) for i, s in enumerate(share) if s > 16 * list_size}
-    sent, cut = spark.sparkContext.broadcast(graphs), spark.sparkContext.broadcast(blocks)
-
-    shape = "profile_key string, list int, g bigint, q binary, mb int, qb int, role int"
-    in_lists = reps.mapInPandas(_assigner(sent, replicas, ratio, cut), shape)
+    sizes = written(reps.groupBy("profile_key").agg(F.count("*").alias("n")), "vector-profiles")  # one row per profile
+    chosen = F.pmod(F.xxhash64("g", F.lit(17)), F.ceil(F.col("n") / fit_sample)) == 0
+    fitted = reps.join(sizes, "profile_key").where(chosen).groupBy("profile_key").applyInPandas(_fitter(list_size, max_lists), CENTROID)
+    in_lists = _assigned(reps, sizes, written(fitted, "vector-centroids"), replicas, ratio, broadcast_bytes)
     found = in_lists.groupBy("profile_key", "list", "mb", "qb").applyInPandas(_search_cell(k), "g bigint, s array<float>, o array<bigint>")
     best = F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.arrays_zip("s", "o"))))), 1, k + 1)
     near = found.groupBy("g").agg(best.alias("b")).select("g", F.inline("b"))

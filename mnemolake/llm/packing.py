@@ -28,7 +28,6 @@ from mnemolake.functions.ranks import group_rank
 from mnemolake.runtime import written
 
 TOKENIZER_FILE = "/opt/tokenizers/byte_bpe_50k.json"
-BROADCAST_PLACES = 500_000
 
 
 def token_counts(documents: DataFrame, tokenizer_file: str = TOKENIZER_FILE) -> DataFrame:
@@ -116,21 +115,21 @@ def packed(documents: DataFrame, budgets: DataFrame, tokenizer_file: str = TOKEN
     spark = documents.sparkSession
     sized = written(token_counts(documents, tokenizer_file), "packing-sizes")
     wanted = budgets.where("budget_name is not null and capacity_tokens > 0").select("budget_name", "capacity_tokens").distinct()
-    whole = sized.join(F.broadcast(wanted))  # every text for every budget; the budgets are a parameter table
+    capacity = {r["budget_name"]: r["capacity_tokens"] for r in wanted.collect()}  # a table of parameters
+    each = F.array(*[F.struct(F.lit(b).alias("budget_name"), F.lit(c).cast("int").alias("capacity_tokens")) for b, c in sorted(capacity.items())])
+    none = F.array().cast("array<struct<budget_name:string,capacity_tokens:int>>")
+    whole = sized.select("doc_id", "tokens", F.inline(each if capacity else none))  # every text for every budget
     full = F.floor(F.col("tokens") / F.col("capacity_tokens")).cast("int")
     rest = (F.col("tokens") % F.col("capacity_tokens")).cast("int")
     sizes = F.concat(F.array_repeat(F.col("capacity_tokens").cast("int"), full), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<int>")))
     pieces = whole.select("budget_name", "doc_id", F.posexplode(sizes).alias("piece_no", "tokens"))
     ranked = written(group_rank(pieces, ["budget_name", "tokens"], [F.col("doc_id"), F.col("piece_no")], "rank"), "packing-ranked")
 
-    capacity = {r["budget_name"]: r["capacity_tokens"] for r in wanted.collect()}
     histograms: dict[str, dict[int, int]] = {b: {} for b in capacity}
     for r in ranked.groupBy("budget_name", "tokens").count().collect():  # at most the sum of the capacities
         histograms[r["budget_name"]][r["tokens"]] = r["count"]
     rows = [row for b, h in sorted(histograms.items()) for row in _places(b, shortest_pack_first(h, capacity[b]), 0)]
-    places = spark.createDataFrame(rows, "b string, length int, start bigint, stop bigint, each int, first bigint")
-    if len(rows) <= BROADCAST_PLACES:
-        places = F.broadcast(places)
+    places = F.broadcast(spark.createDataFrame(rows, "b string, length int, start bigint, stop bigint, each int, first bigint"))
     here = (F.col("budget_name") == F.col("b")) & (F.col("tokens") == F.col("length")) & (F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("stop"))
     container = F.col("first") + F.floor((F.col("rank") - F.col("start")) / F.col("each"))
     return ranked.join(places, here).select("budget_name", container.cast("bigint").alias("container_no"), "doc_id", "piece_no", "tokens")

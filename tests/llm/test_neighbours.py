@@ -45,3 +45,9 @@ def test_recall_with_many_lists_and_blocks(spark):
     # one centroid only: every list is cut into blocks, and the search is exhaustive
     blocked = found(spark, rows, list_size=100, max_lists=1)
     assert len(blocked & want) >= 0.999 * len(want)
+
+
+def test_many_profiles_with_and_without_broadcast(spark):
+    rng = np.random.default_rng(3)
+    rows = [(f"i{i:04d}", f"p{i % 60}", [float(a) for a in rng.normal(size=4)], 4) for i in range(600)]
+    assert found(spark, rows) == found(spark, rows, broadcast_bytes=0) == exact(rows)
