@@ -2,17 +2,24 @@
 
 A record is residue if it is, or contains, one of
 
-* an unfilled template place: one grammar per delimiter (``{{x}}``, ``${x}``, ``{x}``, ``[[x]]``,
-  ``<%= x %>``, ``%x%``, ``$x$``, ``__x__``, ``<x_y>``, ``<YOUR x>``, ``[INSERT x HERE]``, ``[TITLE]``);
-* filler: runs of dummy-Latin words, one word again and again, phrases that ask to be replaced;
-* an error page or an error message served in place of content;
-* a notice that scripts are needed.
-
-What only speaks of such things is discounted by its surroundings: code fences, inline code and
-quoted strings are blanked before the grammars run; a sentence about templates or placeholders
-(a tutorial) does not count unless places stand denser than its words about them; status lines
-count only where a line or sentence begins with them; two dummy-Latin words are a mention, a run
-of ``LATIN_RUN`` is filler.
+* an unfilled template place: one grammar per delimiter (``{{x}}``, ``${x}``, ``{x}``, ``{0}``, ``[[x]]``,
+  ``<%= x %>``, ``%x%``, ``$x$``, ``__x__``, ``*|X|*``, ``<x_y>``, ``<YOUR x>``, ``[INSERT x HERE]``, ``[First Name]``, ``[TITLE]``);
+* filler: runs of dummy-Latin words, one word again and again, sentences that stand in for text
+  ("sample text", "enter a title here", "click to edit");
+* an error page or an error message served in place of content: status lines (code and reason of
+  HTTP), and sentences of a grammar *thing + failure* ("the page ... could not be ...", "your session
+  has expired"), apologies, refusals, robot checks, maintenance notices;
+* a notice that scripts are needed: a grammar of *scripts + state* and *switch on + scripts*.
+
+What only speaks of such things is discounted by its surroundings, for all detectors: code fences,
+inline code and quoted strings are blanked first (but not in JSON, whose strings are its content); a
+sentence about templates or placeholders (a tutorial) does not count unless places stand denser
+than its words about them; status lines, apologies and demands count only where a line or sentence
+begins with them; two dummy-Latin words are a mention, a run of ``LATIN_RUN`` is filler; a word
+that people repeat for emphasis is no filler.
+
+The phrases are written as grammars of what such pages say, in English and, shorter, in German,
+Spanish and Russian; unseen wordings outside of them are missed.
 
 Everything is JVM regular expressions behind cheap substring tests, so most rows never meet a
 pattern. Defined results: null and empty text is no residue; an id delivered several times is
@@ -57,43 +64,76 @@ _NAME = r"[A-Za-z_][A-Za-z0-9_.]{0,40}"
 #: tag names also used as the name of a place when written in capitals or with a prefix
 _TAG = "(?i:" + "|".join(t for t in HTML_TAGS if t not in ("summary",)) + ")"
 PLACES = [
-    r"\{\{\s*[^{}\n]{1,60}\}\}",
-    r"\$\{[^{}\n]{1,60}\}",
-    rf"(?<![\w\\/$\{{}}])\{{{_NAME}\}}(?!\}})",
-    r"<%=?\s*[^%\n]{1,60}?%>",
+    r"\{\{[^{}]+\}\}",
+    r"\$\{[^{}]+\}",
+    rf"(?<![\w\\/$\{{}}])\{{(?:[A-Za-z_][A-Za-z0-9_.]{{1,40}}|\d{{1,2}})\}}(?!\}})",
+    r"<%=?[^%]+%>",
     rf"\[\[\s*{_NAME}\s*\]\]",
     r"(?<![\w%])%[A-Za-z][A-Za-z_]{2,40}%(?![\w%])",
     r"%\([A-Za-z_]+\)s",
     r"(?<![\w$])\$[A-Za-z][A-Za-z_]{2,40}\$(?![\w$])",
     r"(?<!\w)__(?!(?i:init|main|name|file|dict|class|doc|all|call|str|repr|version)__)[A-Za-z]\w*?__(?!\w)",
-    r"<(?i:your|insert|enter|add)[ _-][^<>\n]{1,40}>",
-    r"<[A-Za-z][A-Za-z0-9]*_[A-Za-z0-9_]+>",
-    rf"<(?!{_TAG}>)[A-Za-z]{{3,30}}>(?![^\n]{{0,200}}</)",
-    r"\[(?i:insert|enter|add|describe|fill in|write|type|your)\b[^\[\]\n]{1,60}\](?!\()",
+    r"\*\|[A-Z][A-Z0-9_:]*\|\*",
+    r"<(?i:your|insert|enter|add)[ _-][^<>]+>",
+    r"(?<!\w)<[A-Za-z][A-Za-z0-9]*_[A-Za-z0-9_]+>",
+    rf"(?<!\w)<(?!{_TAG}>)[A-Za-z]{{3,30}}>(?![^\n]{{0,200}}</)",
+    r"\[(?i:insert|enter|add|describe|fill in|write|type|your)\b[^\[\]]+\](?!\()",
     r"\[(?:WHAT|WHO|WHEN|WHERE|WHY|HOW)\b[A-Z ,?']{2,60}\](?!\()",
+    r"\[(?:[A-Z][a-z]+ ){1,2}(?:Name|Title|Date|Address|Number|Email|Here)\](?!\()",
     r"\[(?:TITLE|NAME|DATE|CITY|COMPANY|SUBJECT|BODY|AMOUNT|ADDRESS|SUMMARY|PROJECT|AGENT|TOPIC|TEXT|LINK|TBD|TODO)\](?!\()",
 ]
 _PLACE = "|".join(PLACES)
 
-_B = r"(?:^|[\n\r]|[.!?…]\s+|:\s+|[-*]\s+)"  # where a line or sentence begins
+_B = r"(?:^|[\n\r>|]\s*|[.!?…]\s+|:\s+|[-*]\s+|\)\s+)"  # where a line or sentence begins
+_E = r"(?:\s*$|\s*[\n\r.!,;:…<(]|\s+-\s)"  # where it, or a clause of it, ends
 _REASON = "(?i:" + "|".join(REASONS) + ")"
-# Sentences of filler, error pages and script notices, blanks standing for any white space.
+_W = r"[\p{L}\p{N}'’/_.-]+"  # a word, a path or a reference number
+
+# What can fail, and how a page says so.
+_THING = r"(?:requested )?(?:page|url|resource|file|document|link|site|website|server|service|request|content|session|account|address)"
+_FAILED = (
+    r"(?:(?:could|can|was|is|does|did|were|are)\s?(?:not|n't|n’t)(?: be| currently| longer)? (?:found|available|served|exist|reached|reachable|displayed|shown|loaded|handled?|processed?|completed?|respond|accessible)"
+    r"|cannot be (?:found|served|reached|displayed|loaded|processed)|no longer (?:exists|available)|(?:has |have )?(?:expired|timed out)|is broken|(?:has|have) been (?:moved|removed|deleted|blocked|suspended)|is (?:down|unavailable|temporarily unavailable))"
+)
+_LONE = r"(?:page|file|site|server|resource|url) (?:is )?(?:not found|unavailable|not available|unreachable)"
+
 FILLER = [
-    "this is placeholder (?:content|text)", "(?:sample|dummy|example|your) text goes here", "your text here", r"insert \w+ here[.!]", "hier steht ihr text",
-    r"type something \(", r"\) add a description of the item", r"\) click to edit", "replace it before use", "su texto aquí", "здесь будет ваш текст",
+    rf"{_B}(?:this is |here is |here goes )?(?:an? |the |some |your )?(?:placeholder|dummy|sample|filler|example|blind) (?:text|content|copy|paragraph)(?: (?:for|goes|comes|here|only)\b|{_E})",
+    rf"{_B}your (?:{_W} ){{0,2}}?(?:text|title|content|name|message|heading|headline) (?:goes |comes )?here\b",
+    rf"{_B}(?:insert|enter|type|put|write|add|paste) (?:{_W} ){{1,3}}here{_E}",
+    rf"{_B}(?:click|tap|double-click) (?:here )?to (?:edit|add|change|enter)\b",
+    rf"{_B}type something{_E}", rf"{_B}add an? (?:short )?(?:description|title|caption|subtitle|heading) (?:of|for|to|here)\b",
+    rf"{_B}replace (?:it|this|me)(?: text| content)? (?:before (?:use|publishing|you)|with your)\b",
+    r"\b(?:hier steht|hier kommt|geben sie) (?:ihr|ihren|dein|der|später)\s?(?:text|titel|inhalt)?\b", r"\b(?:blindtext|mustertext|platzhaltertext|beispieltext)\b(?=[^.!?\n]{0,20}(?:$|[.!?\n]))",
+    r"\b(?:su|tu|el) (?:texto|título|contenido) (?:va )?aquí\b", r"\btexto de (?:relleno|ejemplo|prueba)(?:$|[.!\n])", r"(?:здесь|тут) (?:будет|должен быть) (?:ваш )?(?:текст|заголовок)|введите (?:ваш )?текст|ваш текст (?:здесь|тут)",
 ]
 ERROR = [
-    "oops! something went wrong", "application error: an unexpected exception", "upstream connect error or disconnect", "your session has expired, (?:please )?(?:sign|log) in",
-    "sorry, we (?:cannot|can't|could not|couldn't) find that page", "página no encontrada", "seite nicht gefunden", "страница не найдена", "temporarily down for maintenance",
-    "this content is blocked in your region", "unusual traffic was detected from your network", "checking that you are not a robot",
-    r"the requested page \S+ could not be served", r"the server could not handle the request \S+ in time", "no server is available to answer", r"you do not have permission to view \w+",
-    "try again in a few minutes, incident", r"the link \S+ is broken or has been moved", r"la página \S+ no está disponible en este momento", r"die seite \S+ existiert nicht mehr",
-    "give the site owner the number",
+    rf"{_B}(?:oops|whoops|uh-oh|oh no|sorry|we(?:'|’)re sorry|we are sorry|apologies)[!,.… ]+(?:but )?(?:{_W},? ){{0,5}}?(?:went wrong|go(?:ne)? wrong|not found|(?:can(?:not|'t|’t| not)|could\s?n(?:'t|’t|ot)|unable to) (?:find|load|open|show|display|process|complete)|unavailable|occurred|broke)",
+    rf"{_B}something (?:has )?(?:went|gone) (?:badly |terribly )?wrong{_E}",
+    rf"{_B}(?:a |an |the )?(?:fatal |internal |application |server |runtime |database |unknown |unexpected |client-side )+(?:error|exception)(?: has| was)?(?: occurred|:| {_E})",
+    rf"{_B}error (?:establishing|connecting|loading|processing|while (?:loading|processing|connecting))\b",
+    rf"{_B}upstream (?:connect error|server|request|prematurely|timed)", rf"{_B}(?:connection|request|gateway|operation) (?:has )?(?:timed out|refused|reset by peer){_E}",
+    rf"{_B}(?:your |this |the )?session (?:has |is )?(?:expired|timed out)\b", rf"{_B}(?:(?:oops|whoops|sorry)[!,.… ]+)?(?:the |this |that |your )?{_THING} (?:{_W} ){{0,2}}?{_FAILED}", rf"{_B}{_LONE}{_E}",
+    rf"{_B}no (?:healthy )?(?:server|upstream|backend|host) (?:is |was |are )?(?:currently )?(?:available|found|reachable)\b",
+    rf"{_B}(?-i:A(?:ccess|CCESS)|P(?:ermission|ERMISSION)) (?:is |was )?(?:denied|forbidden){_E}", rf"{_B}you (?:do not|don't|don’t|are not) (?:have (?:permission|access|the rights?)|authori[sz]ed|allowed|permitted) (?:to|for)\b",
+    rf"{_B}(?:unusual|suspicious|automated|abnormal) (?:traffic|activity|requests?) (?:was |were |has been |have been )?(?:detected|coming|from)\b",
+    rf"{_B}(?:checking|verifying|confirm|verify|prove|making sure|please (?:confirm|verify|prove))\b[^.!?\n]{{0,30}}?(?:you are|you(?:'|’)re) (?:not )?(?:an? )?(?:human|robot|bot|person)\b", rf"{_B}checking your browser\b",
+    rf"{_B}(?:this |the )?(?:content|video|page|site|service|article) (?:is|has been) (?:blocked|unavailable|not available|restricted) in your (?:region|country|area|location)\b",
+    rf"{_B}(?:we are |the site is |this site is |the service is )?(?:temporarily |currently )?(?:down|closed|offline|unavailable) for (?:scheduled |planned |routine )?maintenance\b", rf"{_B}(?:service|site|page|server) (?:is )?temporarily unavailable\b",
+    rf"{_B}(?:please )?try again (?:later|in (?:a few|\d+|a) (?:minutes?|moments?|seconds?|while)), (?:incident|reference|request|error)\b",
+    r"\bpágina (?:\S+ )?(?:no (?:se )?(?:encontrada|encontró|existe|está disponible))", r"\bseite (?:\S+ )?(?:nicht gefunden|existiert nicht|konnte nicht (?:gefunden|geladen)|ist nicht (?:verfügbar|erreichbar))", r"страница (?:\S+ )?(?:не найдена|не существует|недоступна)",
+    rf"{_B}(?:zugriff verweigert|acceso denegado|доступ запрещ[её]н)", rf"{_B}(?:etwas ist schiefgelaufen|algo salió mal|что-то пошло не так)",
 ]
+_JS = r"(?:java\s?script|scripts|scripting|js)"
 SCRIPTS = [
-    "(?:please|need to|must|to) enable javascript to", "javascript must be (?:turned on|enabled)", "javascript is (?:disabled|turned off) in your browser", "works only with scripting allowed",
-    "scripts are off[.!]? switch them on", "browser does not support (?:java)?scripts", "requires cookies and javascript", "aktivieren sie javascript", r"active el código de scripts", "включите javascript",
+    rf"(?:{_B}|\b(?:please|need to|have to|must|should) )(?:enable|activate|allow|turn on|switch on|permit) (?:{_W} ){{0,2}}?{_JS}\b(?= (?:to|for|in your|in the|and|or|on|so)\b|{_E})",
+    rf"{_B}(?:{_W} ){{0,4}}?{_JS} (?:is|are|must be|has to be|have to be|needs? to be|seems? to be|appears? to be) (?:currently )?(?:disabled|turned off|switched off|off|blocked|not (?:enabled|supported|available|allowed)|turned on|switched on|enabled|allowed|activated|required)\b(?= in your| for | to | by |{_E})",
+    rf"\bturn (?:{_JS}) on (?:to|and|in)\b", rf"\b(?:browser|device|client) (?:does not|doesn't|doesn’t|cannot|can't|can’t) (?:support|run|execute) {_JS}\b",
+    rf"{_B}(?:this|the|our) (?:{_W} ){{1,3}}?(?:requires?|needs?) (?:cookies and |a browser with )?{_JS}\b", rf"{_B}(?:this|the|our) (?:{_W} ){{1,4}}?(?:works?|runs?|loads?) only with {_JS}\b",
+    r"\baktivieren sie (?:\w+ )?javascript\b|\bjavascript (?:ist|wurde) (?:deaktiviert|ausgeschaltet)|\bjavascript aktivieren\b", r"\b(?:active|habilite|activa|habilita|activar|habilitar) (?:\S+ ){0,3}?(?:javascript|scripts)\b", r"включите (?:поддержку )?javascript|javascript (?:отключ[её]н|выключен|не поддерживается)",
 ]
+# Words that people repeat for emphasis or laughter.
+EMPHASIS = ["very", "really", "so", "too", "much", "many", "more", "far", "no", "yes", "ha", "haha", "never", "sehr", "ja", "nein", "muy", "mucho", "очень", "да", "нет"]
 
 
 def _phrases(lines: list[str]) -> str:
@@ -104,49 +144,57 @@ def _any(text: Column, needles: list[str]) -> Column:
     return reduce(or_, [text.contains(n) for n in needles])
 
 
-def has_place(text: Column) -> Column:
-    """An unfilled template place outside code, quotation and talk about templates."""
-    shown = F.regexp_replace(text, r"(?s)```.*?(?:```|$)|~~~.*?(?:~~~|$)", " ")
-    shown = F.regexp_replace(shown, r"`[^`\n]*`", " ")
+def shown(text: Column) -> Column:
+    """``text`` with code and quotation blanked; the strings of a JSON value stay."""
+    plain = F.regexp_replace(text, r"(?s)```.*?(?:```|$)|~~~.*?(?:~~~|$)", " ")
+    plain = F.regexp_replace(plain, r"`[^`\n]*`", " ")
     is_json = text.rlike(r"^\s*[\[{]\s*[\"{\[]")
-    shown = F.when(is_json, shown).otherwise(F.regexp_replace(shown, r"\"[^\"\n]{0,300}\"|“[^”\n]{0,300}”|„[^“\n]{0,300}“|«[^»\n]{0,300}»", " "))
+    quoted = F.regexp_replace(plain, r"\"[^\"\n]{0,300}\"|“[^”\n]{0,300}”|„[^“\n]{0,300}“|«[^»\n]{0,300}»", " ")
+    return F.when(~_any(text, ["`", "~~~", '"', "“", "„", "«"]), text).when(is_json, plain).otherwise(quoted)
+
+
+def has_place(text: Column) -> Column:
+    """An unfilled template place outside talk about templates."""
     # a sentence that explains: one or two places among at least six words each are a mention
-    about = r"(?i)[^.!?\n]*\b(?:placeholders?|template|templates|syntax|variables?|markup|snippet)\b[^.!?\n]*"
+    about = r"(?i)[^.!?\n]*\b(?:placeholders?|template|templates|syntax|variables?|markup|snippet|jinja|handlebars|to mean|stands for|(?:is|are|gets?) replaced)\b[^.!?\n]*"
     dense = rf"(?:{_PLACE})(?:\W*\w+){{0,5}}?\W*(?:{_PLACE})"
-    explained = F.when(shown.rlike(about) & ~shown.rlike(dense), F.regexp_replace(shown, about, " ")).otherwise(shown)
-    return F.when(text.rlike(r"[{\[<%$]|__"), explained.rlike(_PLACE)).otherwise(False)
+    explained = F.when(text.rlike(about) & ~text.rlike(dense), F.regexp_replace(text, about, " ")).otherwise(text)
+    return F.when(text.rlike(r"[{\[<%$]|__|\*\|"), explained.rlike(_PLACE)).otherwise(False)
 
 
 def is_filler(text: Column, low: Column) -> Column:
     latin = r"(?i)\b(?:(?:" + "|".join(LATIN) + rf")\b[\s,.;]*){{{LATIN_RUN}}}"
     # counts are exact, not open: an open repeat of a group costs stack for every turn in a long text
     # possessive, so a word that is not repeated is left at once
-    again = r"\b(\p{L}{2,}+)(?:\s+\1\b){4}"
+    again = r"\b(?!(?:" + "|".join(EMPHASIS) + r")\b)(\p{L}{2,}+)(?:\s+\1\b){4}"
     dummy = r"(?iu)(?<![\p{L}\p{N}])(test|xxx+|bla|blah|asdf|qwerty|tbd|todo|foo|dummy|text|n/a)(?:\s+\1){2}(?![\p{L}\p{N}])"
     return (
         F.when(_any(low, ["lorem", "ipsum", "dolor", "amet"]), text.rlike(latin)).otherwise(False)
         | low.rlike(again)
         | F.when(_any(low, ["test test", "xxx xxx", "bla bla", "blah blah", "asdf asdf", "qwerty qwerty", "tbd tbd", "todo todo", "foo foo", "dummy dummy", "text text", "n/a n/a", "xxxx"]), text.rlike(dummy)).otherwise(False)
-        | F.when(_any(low, ["placeholder content", "placeholder text", " here", "hier steht", "type something", "click to edit", "a description of", "replace it before", "texto aquí", "здесь будет"]), text.rlike(_phrases(FILLER))).otherwise(False)
-    )
+        | F.when(
+            _any(low, [" text", " content", " copy", " paragraph", " here", "to edit", "to add", "to change", "to enter", "add a", "type something", "replace ", "hier ", "geben sie", "blindtext", "mustertext", "platzhaltertext", "beispieltext", "aquí", "texto de", "текст", "заголовок"]),
+            text.rlike(_phrases(FILLER)),
+        ).otherwise(False)
+    )
 
 
 def is_error(text: Column, low: Column) -> Column:
     served = "|".join([
-        rf"{_B}[45]\d\d\s*(?:[-–:]\s*)?{_REASON}(?:\s*$|\s*[\n\r.!]|\s+(?-i:\p{{Lu}}))",
+        rf"{_B}(?:(?i:HTTP)[/ ]?[\d.]* )?(?:(?i:error) )?[45]\d\d\s*(?:[-–:]\s*)?{_REASON}(?:\s*$|\s*[\n\r.!<]|\s+(?-i:\p{{Lu}})|\s+(?i:nginx|apache|cloudflare|openresty|varnish|caddy|iis)\b)",
         rf"(?i:\bHTTP)[/ ]?[\d.]*\s+[45]\d\d:\s*{_REASON}",
         rf"{_B}{_REASON}!",
         rf"<title>\s*[45]\d\d\s+{_REASON}",
-        r"\"error\"\s*:\s*\{\s*\"code\"\s*:\s*[45]\d\d\b",
-        rf"{_B}(?i:access\s+denied\.)(?:\s|$)",
-        rf"{_B}(?i:error\s+[45]\d\d)\.(?:\s|$)",
+        r"\"(?:code|status)\"\s*:\s*\"?[45]\d\d\b[^{}]{0,200}\"(?:error|message|title)\"|\"error\"\s*:\s*\{\s*\"code\"\s*:\s*[45]\d\d\b",
+        rf"{_B}(?i:(?:http )?error\s+[45]\d\d)\.(?:\s|$)",
     ])
     return (
-        F.when(text.contains("!") | low.contains("access denied") | text.rlike(r"[45]\d\d"), text.rlike(served)).otherwise(False)
+        F.when(text.contains("!") | text.rlike(r"[45]\d\d"), text.rlike(served)).otherwise(False)
         | F.when(
             _any(low, [
-                "went wrong", "application error", "connect error", "session has expired", "find that page", "página", "seite ", "страница", "for maintenance", "in your region", "unusual traffic",
-                "not a robot", "be served", "not handle the request", "no server is", "have permission", "minutes, incident", "been moved", "site owner the number",
+                "wrong", "sorry", "oops", "uh-oh", "oh no", "error", "exception", "upstream", "timed out", "refused", "reset by peer", "expired", "not found", "not be ", "not exist", "cannot be", "not respond", "n't ", "n’t ", "not available", "not handle", "not process", "not complete",
+                "no longer", "is broken", "been moved", "been removed", "been deleted", "been blocked", "been suspended", "is down", "unavailable", "unreachable", "not accessible", "is available", "are available", "was found", "reachable", "denied", "forbidden", "do not have", "are not ", "unusual", "suspicious", "automated", "abnormal",
+                "robot", "human", "checking", "in your ", "maintenance", "try again", "página", "seite ", "страница", "verweigert", "denegado", "доступ", "schiefgelaufen", "algo sal", "что-то",
             ]),
             text.rlike(_phrases(ERROR)),
         ).otherwise(False)
@@ -154,14 +202,14 @@ def is_error(text: Column, low: Column) -> Column:
 
 
 def wants_scripts(text: Column, low: Column) -> Column:
-    return F.when(_any(low, ["script"]), text.rlike(_phrases(SCRIPTS)) | low.contains("<noscript>")).otherwise(False)
+    return F.when(_any(low, ["script", " js"]), text.rlike(_phrases(SCRIPTS)) | low.contains("<noscript>")).otherwise(False)
 
 
 def with_residue(df: DataFrame, text: str, name: str = "residue") -> DataFrame:
     """``df`` plus ``name``: what kind of residue ``text`` is or contains, or null."""
     t, low = F.col("_text"), F.col("_low")
     wide = _any(F.col(text), ["  ", "\t", "\u00a0", "\u2009", "\u202f"])
-    df = once(df.withColumn("_text", F.when(wide, F.regexp_replace(F.col(text), "[ \\t\\u00a0\\u2009\\u202f]+", " ")).otherwise(F.col(text))), "_text")
+    df = once(df.withColumn("_text", shown(F.when(wide, F.regexp_replace(F.col(text), "[ \\t\\u00a0\\u2009\\u202f]+", " ")).otherwise(F.col(text)))), "_text")
     df = once(df.withColumn("_low", F.lower(F.translate("_text", "\n\r", "  "))), "_low")
     kind = (
         F.when(wants_scripts(t, low), "scripts").when(is_error(t, low), "error").when(is_filler(t, low), "filler").when(has_place(t), "template")
