@@ -126,7 +126,7 @@ ERROR = [
 ]
 _JS = r"(?:java\s?script|scripts|scripting|js)"
 SCRIPTS = [
-    rf"(?:{_B}|\b(?:please|need to|have to|must|should) )(?:enable|activate|allow|turn on|switch on|permit) (?:{_W} ){{0,2}}?{_JS}\b(?= (?:to|for|in your|in the|and|or|on|so)\b|{_E})",
+    rf"{_B}(?:(?:{_W},? ){{0,6}}?(?:please|need to|have to|must|should) )?(?:enable|activate|allow|turn on|switch on|permit) (?:{_W} ){{0,2}}?{_JS}\b(?= (?:to|for|in your|in the|and|or|on|so)\b|{_E})",
     rf"{_B}(?:{_W} ){{0,4}}?{_JS} (?:is|are|must be|has to be|have to be|needs? to be|seems? to be|appears? to be) (?:currently )?(?:disabled|turned off|switched off|off|blocked|not (?:enabled|supported|available|allowed)|turned on|switched on|enabled|allowed|activated|required)\b(?= in your| for | to | by |{_E})",
     rf"\bturn (?:{_JS}) on (?:to|and|in)\b", rf"\b(?:browser|device|client) (?:does not|doesn't|doesn’t|cannot|can't|can’t) (?:support|run|execute) {_JS}\b",
     rf"{_B}(?:this|the|our) (?:{_W} ){{1,3}}?(?:requires?|needs?) (?:cookies and |a browser with )?{_JS}\b", rf"{_B}(?:this|the|our) (?:{_W} ){{1,4}}?(?:works?|runs?|loads?) only with {_JS}\b",
@@ -137,7 +137,10 @@ EMPHASIS = ["very", "really", "so", "too", "much", "many", "more", "far", "no",
 
 
 def _phrases(lines: list[str]) -> str:
-    return "(?iu)(?:" + "|".join(x.replace(" ", r"\s+") for x in lines) + ")"
+    """One pattern: what begins with ``_B`` shares it, so most places of a text are left at once."""
+    starts = [x[len(_B) :] for x in lines if x.startswith(_B)]
+    inside = [x for x in lines if not x.startswith(_B)]
+    return "(?iu)(?:" + _B + "(?:" + "|".join(x.replace(" ", r"\s+") for x in starts) + ")|" + "|".join(x.replace(" ", r"\s+") for x in inside) + ")"
 
 
 def _any(text: Column, needles: list[str]) -> Column:
@@ -180,13 +183,14 @@ def is_filler(text: Column, low: Column) -> Column:
 
 
 def is_error(text: Column, low: Column) -> Column:
-    served = "|".join([
-        rf"{_B}(?:(?i:HTTP)[/ ]?[\d.]* )?(?:(?i:error) )?[45]\d\d\s*(?:[-–:]\s*)?{_REASON}(?:\s*$|\s*[\n\r.!<]|\s+(?-i:\p{{Lu}})|\s+(?i:nginx|apache|cloudflare|openresty|varnish|caddy|iis)\b)",
+    served = _B + "(?:" + "|".join([
+        rf"(?:(?i:HTTP)[/ ]?[\d.]* )?(?:(?i:error) )?[45]\d\d\s*(?:[-–:]\s*)?{_REASON}(?:\s*$|\s*[\n\r.!<]|\s+(?-i:\p{{Lu}})|\s+(?i:nginx|apache|cloudflare|openresty|varnish|caddy|iis)\b)",
+        rf"{_REASON}!",
+        r"(?i:(?:http )?error\s+[45]\d\d)\.(?:\s|$)",
+    ]) + ")|" + "|".join([
         rf"(?i:\bHTTP)[/ ]?[\d.]*\s+[45]\d\d:\s*{_REASON}",
-        rf"{_B}{_REASON}!",
         rf"<title>\s*[45]\d\d\s+{_REASON}",
         r"\"(?:code|status)\"\s*:\s*\"?[45]\d\d\b[^{}]{0,200}\"(?:error|message|title)\"|\"error\"\s*:\s*\{\s*\"code\"\s*:\s*[45]\d\d\b",
-        rf"{_B}(?i:(?:http )?error\s+[45]\d\d)\.(?:\s|$)",
     ])
     return (
         F.when(text.contains("!") | text.rlike(r"[45]\d\d"), text.rlike(served)).otherwise(False)
