@@ -6,7 +6,7 @@ import importlib
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ["pipeline", "basics", "retrieval", "transcripts", "selections"]
+MODULES = ["pipeline", "basics", "retrieval", "transcripts", "selections", "functions"]
 
 
 def _gather(name: str) -> dict:

@@ -124,12 +124,6 @@ def flt14(spark, d):
     return items(spark, d).where(T.is_durable(F.col("content"))).select("id")
 
 
-@query("flt15_markers", rf"""with {ITEMS} select id from items where regexp_matches(trim(content), '\b[A-Z][A-Z0-9]*_[A-Z0-9]+_[A-Z0-9_]+\b') or regexp_matches(trim(content), '(?i)\b[0-9a-f]{{8}}-[0-9a-f]{{4}}-[1-5][0-9a-f]{{3}}-[89ab][0-9a-f]{{3}}-[0-9a-f]{{12}}\b')
- or regexp_matches(trim(content), '@[A-Za-z0-9_]{{3,}}') or regexp_matches(trim(content), '\d{{6,}}')""")
-def flt15(spark, d):
-    return items(spark, d).where(T.has_marker(F.col("content"))).select("id")
-
-
 @query("prj01_hits", f"""with {ITEMS} select 'memory' as corpus, 'db-memory/items/' || id || '.md' as path, id, title, type as kind, case when length(content) > 240 then substr(content, 1, 240) || '…' else content end as snippet from items""")
 def prj01(spark, d):
     return items(spark, d).select(F.lit("memory").alias("corpus"), F.concat(F.lit("db-memory/items/"), "id", F.lit(".md")).alias("path"), "id", "title", F.col("type").alias("kind"), T.snippet(F.col("content")).alias("snippet"))
@@ -296,11 +290,6 @@ def scl10(spark, d):
     return entries(spark, d).select("id", S.explicit_date(F.col("logical_date")).alias("explicit"), S.path_date(F.col("path")).alias("of_path"))
 
 
-@query("scl14_coerced_times", "select row_id, coalesce(floor(case when try_cast(timestamp as double) < 1e11 then try_cast(timestamp as double) * 1000 else try_cast(timestamp as double) end), 0)::bigint as ms from session_messages")
-def scl14(spark, d):
-    return table(spark, d, "session_messages").select("row_id", S.coerced_millis(F.col("timestamp")).alias("ms"))
-
-
 @query("scl15_clamp", f"with {ITEMS} select id, greatest(10, least(90, coalesce(importance, 10)))::int as importance from items")
 def scl15(spark, d):
     return items(spark, d).select("id", S.clamp(F.col("importance"), 10, 90).alias("importance"))
@@ -335,17 +324,6 @@ def scl23(spark, d):
     return items(spark, d).where("content is not null").select("id", T.utf16_length(F.col("content")).alias("units"))
 
 
-@query("scl26_versions", r"""with v as (select distinct regexp_extract(content, '\b(\d+\.\d+\.\d+)\b', 1) as v from memory_items) select v, lpad(split_part(v, '.', 1), 9, '0') || '.' || lpad(split_part(v, '.', 2), 9, '0') || '.' || lpad(split_part(v, '.', 3), 9, '0') || '.~' as sort_key from v where v <> ''""")
-def scl26(spark, d):
-    v = table(spark, d, "memory_items").select(F.regexp_extract("content", r"\b(\d+\.\d+\.\d+)\b", 1).alias("v")).where("v <> ''").distinct()
-    return v.select("v", S.version_key(F.col("v")).alias("sort_key"))
-
-
-@query("scl27_transient_errors", f"with {ITEMS} select id from items where regexp_matches(lower(content), '{'|'.join(S.TRANSIENT)}')")
-def scl27(spark, d):
-    return items(spark, d).where(S.is_transient(F.col("content"))).select("id")
-
-
 @query("txt01_txt02_one_line", rf"with {ENTRIES} select id, trim(regexp_replace(content, '[\s\x{{00a0}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}\x{{0085}}\x{{000b}}]+', ' ', 'g')) as line, lower(trim(regexp_replace(content, '[\s\x{{00a0}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}\x{{0085}}\x{{000b}}]+', ' ', 'g'))) as same from entries")
 def txt01(spark, d):
     return entries(spark, d).select("id", T.one_line(F.col("content")).alias("line"), T.comparable(F.col("content")).alias("same"))
@@ -356,11 +334,6 @@ def txt16(spark, d):
     return items(spark, d).select("id", T.slugify(F.col("title")).alias("slug"))
 
 
-@query("bud03_head_cut", f"with {ITEMS} select id, case when length(content) <= 120 then content else substr(content, 1, 120 - length(chr(10) || '...[truncated]...')) || chr(10) || '...[truncated]...' end as cut from items")
-def bud03(spark, d):
-    return items(spark, d).select("id", T.head_cut(F.col("content"), 120).alias("cut"))
-
-
 @query("rd05_references", f"with {CHUNKS} select id, path, start_line as from_line, end_line as to_line from chunks")
 def rd05(spark, d):
     ref = chunks(spark, d).select("id", F.concat("path", F.lit("#L"), F.col("start_line").cast("string"), F.lit("-L"), F.col("end_line").cast("string")).alias("ref"))

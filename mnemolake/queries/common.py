@@ -2,12 +2,33 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mnemolake.operators import search
 from mnemolake.runtime import table
 
+
+
+def registry() -> tuple[dict, dict[str, str], Callable]:
+    """Tables of the queries and SQL of one module, and the decorator that fills them."""
+    queries: dict = {}
+    texts: dict[str, str] = {}
+
+    def query(name: str, sql: str | None = None):
+        def keep(f):
+            queries[name] = f
+            if sql:
+                texts[name] = sql
+            return f
+
+        return keep
+
+    return queries, texts, query
+
+
 # current rows, as common table expressions
 ITEMS = """items as (select * from memory_items qualify row_number() over (partition by id order by version desc nulls last, updated_at desc nulls last) = 1)"""
 ENTRIES = """entries as (select * from memory_daily_entries qualify row_number() over (partition by id order by updated_at desc nulls last) = 1)"""

@@ -144,11 +144,6 @@ def bud01(spark, d):
     return selection.quota_within_budget(items(spark, d).where("status = 'active'"), {"fact": 5, "note": 3}, 900, F.length("content"), order).select("id", F.col("used").cast("bigint").alias("used"))
 
 
-@query("bud04_labels", rf"with {ITEMS} select id, trim(regexp_replace(regexp_replace(regexp_replace(title, '[\x00-\x1f\x7f]+', ' ', 'g'), '[\[\]{{}}<>()]', '_', 'g'), '[^\p{{L}}\p{{N}} ._:/@#+-]', '_', 'g'), ' ') as label from items")
-def bud04(spark, d):
-    return items(spark, d).select("id", T.label(F.col("title")).alias("label"))
-
-
 @query("ext01_extractor_output")
 def ext01(spark, d):
     answer = F.concat(F.lit("Here it is:\n```json\n"), F.to_json(F.struct(F.lit("s").alias("summary"), F.array(F.struct("content", "type", F.col("canonical_key").alias("canonicalKey"), (F.col("confidence") + 0.7).alias("confidence"))).alias("candidates"))), F.lit("\n```"))
@@ -179,12 +174,6 @@ def scl19(spark, d):
     return items(spark, d).where("tags is not null").select("id", F.size(chunked(F.col("tags"), 2)).alias("parts"))
 
 
-@query("scl25_trimmed", f"with {ENTRIES} select id, length(trim(replace(content, chr(13) || chr(10), chr(10)), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(160) || chr(65279)))::int as n from entries")
-def scl25(spark, d):
-    blanks = F.lit(" \t\n\u000b\u000c\r ﻿")
-    return entries(spark, d).select("id", F.length(F.btrim(F.replace("content", F.lit("\r\n"), F.lit("\n")), blanks)).alias("n"))
-
-
 @query("scl28_item_kinds", f"with {ITEMS} select id, case when regexp_matches(lower(trim(title)), 'fact|preference') then 'fact' else 'note' end as kind from items where title is not null")
 def scl28(spark, d):
     return items(spark, d).where("title is not null").select("id", F.when(F.lower(F.trim("title")).rlike("fact|preference"), "fact").otherwise("note").alias("kind"))
