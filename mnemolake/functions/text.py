@@ -152,4 +152,4 @@ def utf16_length(text: Column) -> Column:
 
 
 def without_comments(text: Column) -> Column:
-    return F.trim(F.regexp_replace(text, r"(?s)<!--.*?-->", ""))
+    return whole_trim(F.regexp_replace(text, r"(?s)<!--.*?-->", ""))

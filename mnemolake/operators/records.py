@@ -8,27 +8,32 @@ from pyspark.sql import functions as F
 from mnemolake.functions import text as T
 from mnemolake.functions.scalars import clamp
 
-# Allowed labels.
-TYPES = ["fact", "preference", "decision", "task", "note", "event", "summary"]
-SOURCES = ["user", "agent", "system", "integration", "migration"]
+# Allowed labels of a stored item.
+TYPES = ["fact", "note"]
+SOURCES = ["user", "agent", "migration", "system", "integration"]
 
 
-def scoped(df: DataFrame, user: Column | None = None, workspace: Column | None = None) -> DataFrame:
-    """Rows of one scope; equality on the partition columns, so it prunes."""
-    return df.where((F.col("user_id") == user) & (F.col("workspace_id") == workspace))
+def scoped(df: DataFrame, scopes: DataFrame) -> DataFrame:
+    """Rows of the given scopes (``user_id``, ``workspace_id``); equality on the partition columns, so it prunes."""
+    return df.join(scopes.select("user_id", "workspace_id").distinct(), ["user_id", "workspace_id"], "left_semi")
 
 
 def normalised_input(writes: DataFrame) -> DataFrame:
     """Input rules of a store call: blank content is refused, the rest gets defaults and bounds."""
-    kept = writes.where(F.trim(F.coalesce("content", F.lit(""))) != "")
-    title = F.when(F.trim(F.coalesce("title", F.lit(""))) != "", F.trim("title")).otherwise(T.first_line_title(F.col("content")))
+    kept = writes.where(T.whole_trim(F.coalesce("content", F.lit(""))) != "")
+    given = lambda c: T.whole_trim(F.coalesce(c, F.lit(""))) != ""
+    key = F.when(given("canonical_key"), T.whole_trim(F.col("canonical_key")))
+    is_map = F.coalesce(F.col("metadata").rlike(r"^\s*\{") & F.try_parse_json("metadata").isNotNull(), F.lit(False))
     return kept.withColumns({
-        "title": title,
+        "title": F.when(given("title"), F.col("title")).otherwise(T.first_line_title(F.col("content"))),
         "type": F.when(F.col("type").isin(TYPES), F.col("type")).otherwise("note"),
-        "namespace": F.when(F.trim(F.coalesce("namespace", F.lit(""))) != "", F.trim("namespace")).otherwise("default"),
+        "namespace": F.when(given("namespace"), T.whole_trim(F.col("namespace"))).otherwise("default"),
         "source": F.when(F.col("source").isin(SOURCES), F.col("source")).otherwise("agent"),
+        "tags": F.when(F.coalesce(F.forall("tags", lambda t: t.isNotNull()), F.lit(False)), F.col("tags")).otherwise(F.array().cast("array<string>")),
+        "metadata": F.when(is_map, F.col("metadata")).otherwise("{}"),
+        "canonical_key": key,
         "importance": clamp(F.coalesce("importance", F.lit(50)), 0, 100),
-        "confidence": clamp(F.coalesce("confidence", F.lit(50)), 0, 100),
+        "confidence": clamp(F.coalesce("confidence", F.lit(80)), 0, 100),
     })
 
 
@@ -36,21 +41,38 @@ KEY = ["user_id", "workspace_id", "namespace", "type", "canonical_key"]
 
 
 def upserted(writes: DataFrame, order: list[Column]) -> DataFrame:
-    """Current items of an append log of writes: the last write of a canonical key wins, its version
-    counts the writes before it; writes without a key are items of their own."""
+    """Current active items of an append log of writes and deletions, as (``id``, ``version``, last written columns).
+
+    A write whose canonical key an active item has changes that item: its id and time of creation stay,
+    its version rises by one, everything else is the write's. A deletion (``status`` deleted) of a key ends
+    its item; the next write of the key makes a new one. Writes without a key are items of their own.
+    Equal places in ``order`` must not occur; a null status counts as active.
+    """
     keyed, free = writes.where("canonical_key is not null"), writes.where("canonical_key is null")
-    w = Window.partitionBy(*KEY)
-    ranked = keyed.withColumns({"new_version": F.row_number().over(w.orderBy(*order)), "_last": F.count("*").over(w)})
-    latest = ranked.where(F.col("new_version") == F.col("_last")).drop("_last")
-    return latest.unionByName(free.withColumn("new_version", F.lit(1)))
+    w = Window.partitionBy(*KEY).orderBy(*order)
+    gone = F.coalesce(F.col("status") == "deleted", F.lit(False))
+    # the life of an item: from the write after a deletion to the next deletion
+    lives = keyed.withColumn("_gone", gone).withColumn("_life", F.coalesce(F.sum(F.col("_gone").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    life = Window.partitionBy(*KEY, "_life")
+    ranked = lives.withColumns({
+        "_version": F.row_number().over(life.orderBy(*order)), "_last": F.count("*").over(life), "_dead": F.max("_gone").over(life),
+        "_id": F.first("id").over(life.orderBy(*order)), "_created": F.first("created_at").over(life.orderBy(*order)),
+    })
+    latest = ranked.where((F.col("_version") == F.col("_last")) & ~F.col("_dead"))
+    latest = latest.withColumns({"id": F.col("_id"), "created_at": F.col("_created"), "new_version": F.col("_version")})
+    alone = free.where(~gone).withColumn("new_version", F.lit(1))
+    return latest.select(*alone.columns).unionByName(alone)
+
+
+IMAGE = ["id", "type", "namespace", "status", "source", "title", "content", "metadata", "tags", "importance", "confidence", "version", "updated_at"]
 
 
 def audit_trail(writes: DataFrame, order: list[Column]) -> DataFrame:
-    """Before and after image of each write of a canonical key."""
-    image = F.to_json(F.struct("title", "content"), {"ignoreNullFields": "false"})
+    """Operation and whole images before and after each write of a canonical key; the id is the first write's."""
     w = Window.partitionBy(*KEY).orderBy(*order)
-    rows = writes.where("canonical_key is not null").withColumn("after", image)
-    rows = rows.withColumns({"before": F.lag("after").over(w), "version": F.row_number().over(w)})
+    rows = writes.where("canonical_key is not null").withColumns({"version": F.row_number().over(w), "id": F.first("id").over(w)})
+    rows = rows.withColumn("after", F.to_json(F.struct(*IMAGE), {"ignoreNullFields": "false"}))
+    rows = rows.withColumn("before", F.lag("after").over(w))
     return rows.withColumn("operation", F.when(F.col("before").isNull(), "insert").otherwise("update"))
 
 
@@ -87,6 +109,72 @@ def due_requests(queue: DataFrame, now: Column, limit: int = 5) -> DataFrame:
 
 
 def retried(queue: DataFrame, failed: Column, minutes: int = 15) -> DataFrame:
-    """Failed requests go back with one attempt more and a later time; others leave the queue."""
+    """Failed requests stay pending with one attempt more and a later time; others are as they were."""
     later = F.col("next_attempt_at") + F.expr(f"INTERVAL {minutes} MINUTES")
-    return queue.where(failed).withColumns({"attempts": F.col("attempts") + 1, "next_attempt_at": later, "status": F.lit("pending")})
+    return queue.withColumns({
+        "attempts": F.when(failed, F.col("attempts") + 1).otherwise(F.col("attempts")),
+        "next_attempt_at": F.when(failed, later).otherwise(F.col("next_attempt_at")),
+        "status": F.when(failed, "pending").otherwise(F.col("status")),
+    })
+
+
+QUEUE = ["user_id", "workspace_id", "profile_key"]
+
+
+def enqueued(queue: DataFrame, requests: DataFrame, now: Column) -> DataFrame:
+    """``queue`` after ``requests`` (``QUEUE``, ``agent_id``, ``reason``, ``seq``) were put in, one row a key.
+
+    A known request becomes pending and due now and loses its error, but keeps its attempts and its
+    first time; of several requests of one key the last by ``seq`` names agent and reason.
+    """
+    asked = requests.groupBy(*QUEUE).agg(F.max_by(F.struct("agent_id", "reason"), "seq").alias("_r"))
+    joined = queue.join(asked, QUEUE, "full_outer")
+    put = F.col("_r").isNotNull()
+    return joined.select(
+        *QUEUE, F.when(put, F.col("_r.agent_id")).otherwise(F.col("agent_id")).alias("agent_id"), F.when(put, F.col("_r.reason")).otherwise(F.col("reason")).alias("reason"),
+        F.when(put, "pending").otherwise(F.col("status")).alias("status"), F.coalesce("attempts", F.lit(0)).alias("attempts"),
+        F.coalesce("requested_at", now).alias("requested_at"), F.when(put, now).otherwise(F.col("next_attempt_at")).alias("next_attempt_at"), F.when(~put, F.col("last_error")).alias("last_error"),
+    )
+
+
+def indexing_pass(queue: DataFrame, profiles: DataFrame, backlog: DataFrame, now: Column, limit: int = 5, batch: int = 25) -> DataFrame:
+    """What one pass does with each due request: (``QUEUE``, ``outcome``, ``indexed``, queue columns after it).
+
+    ``profiles`` (``agent_id``, ``current_key``): the profile in force; ``backlog`` (``QUEUE``, ``missing``):
+    items without a current embedding. A request without profile waits 15 minutes more (``failed``), one
+    whose profile changed is dropped and asked for under the new key (``superseded``), one with a rest
+    after ``batch`` items is due at once (``requeued``), else it leaves the queue (``done``).
+    """
+    due = due_requests(queue, now, limit).join(profiles, "agent_id", "left").join(backlog, QUEUE, "left")
+    missing = F.coalesce("missing", F.lit(0))
+    outcome = (
+        F.when(F.col("current_key").isNull(), "failed").when(F.col("current_key") != F.col("profile_key"), "superseded").when(missing > batch, "requeued").otherwise("done")
+    )
+    done = due.withColumn("outcome", outcome)
+    indexed = F.when(F.col("outcome").isin("requeued", "done"), F.least(missing, F.lit(batch))).otherwise(0)
+    again = F.col("outcome").isin("failed", "requeued")
+    return done.select(
+        *QUEUE, "outcome", indexed.alias("indexed"), F.when(again, F.col("attempts") + 1).alias("attempts"),
+        F.when(F.col("outcome") == "failed", now + F.expr("INTERVAL 15 MINUTES")).when(again, now).alias("next_attempt_at"),
+        F.when(F.col("outcome") == "superseded", F.col("current_key")).alias("new_key"),
+    )
+
+
+def candidates_for_embedding(items: DataFrame, embeddings: DataFrame, profile: str, limit: int) -> DataFrame:
+    """Per scope, the ``limit`` newest active items whose embedding is missing or stale."""
+    w = Window.partitionBy("user_id", "workspace_id").orderBy(F.col("updated_at").desc(), F.col("id"))
+    return embedding_backlog(items, embeddings, profile).withColumn("place", F.row_number().over(w)).where(F.col("place") <= limit)
+
+
+def merged_metadata(old: Column, new: Column) -> Column:
+    """JSON objects put together as text maps, the right one wins; what is no object counts as empty."""
+    read = lambda c: F.coalesce(F.from_json(c, "map<string,string>"), F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")))
+    return F.map_zip_with(read(old), read(new), lambda k, a, b: F.coalesce(b, a))
+
+
+def resolved(existing: DataFrame, wanted: DataFrame, keys: list[str], make_id: Column) -> DataFrame:
+    """Resolve or create: each wanted key (once) with the id it has, or a new one, and its merged ``metadata`` (text map)."""
+    one = wanted.groupBy(*keys).agg(F.max("metadata").alias("_new"))
+    known = existing.groupBy(*keys).agg(F.min(F.struct("id", "metadata")).alias("_old"))
+    joined = one.join(known, keys, "left")
+    return joined.select(*keys, F.coalesce("_old.id", make_id).alias("id"), F.col("_old").isNull().alias("created"), merged_metadata(F.col("_old.metadata"), F.col("_new")).alias("metadata"))

@@ -7,6 +7,9 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mnemolake.functions import text as T
+from mnemolake.functions.scalars import is_transient
+
 
 def visible_hits(hits: DataFrame, allowed: DataFrame) -> DataFrame:
     """Memory hits pass; session hits need an allowed session key."""
@@ -75,13 +78,46 @@ def capture_turns(docs: DataFrame, key: str, text: str) -> DataFrame:
     return turns.select(key, "turn", F.regexp_extract("t", "^(user|assistant):", 1).alias("role"), F.trim(F.regexp_replace("t", r"^(?:user|assistant):\s?", "")).alias("text"))
 
 
-def latest_runs(runs: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """Newest run of each key with its attempt number."""
-    w = Window.partitionBy(*keys)
-    ranked = runs.withColumns({"attempt": F.row_number().over(w.orderBy(*order)), "_n": F.count("*").over(w)})
-    return ranked.where(F.col("attempt") == F.col("_n")).drop("_n")
+RUN = ["user_id", "workspace_id", "source_kind", "source_path", "source_sha256"]
+
+
+def next_runs(wanted: DataFrame, runs: DataFrame) -> DataFrame:
+    """Import runs to start: ``wanted`` (``RUN``) whose newest run has not completed, with the attempt that is due.
+
+    ``runs``: (``RUN``, ``status``, ``attempt_count``, ``started_at``).
+    """
+    newest = runs.groupBy(*RUN).agg(F.max_by(F.struct("status", "attempt_count"), "started_at").alias("_l"))
+    joined = wanted.select(*RUN).distinct().join(newest, RUN, "left")
+    open_ = joined.where(F.coalesce(F.col("_l.status") != "completed", F.lit(True)))
+    return open_.select(*RUN, F.lit("running").alias("status"), (F.coalesce("_l.attempt_count", F.lit(0)) + 1).alias("attempt_count"))
+
+
+def ended_runs(runs: DataFrame, cleanup: bool) -> DataFrame:
+    """Runs with their end: ``error`` (null if all went well) decides between completed, worth a retry and for good."""
+    passing = is_transient(F.col("error"))
+    status = F.when(F.col("error").isNull(), "completed").when(passing, "failed_retryable").otherwise("failed_permanent")
+    code = F.when(F.col("error").isNull(), None).when(passing, "transient_db_error").otherwise("import_failed")
+    tidy = F.when(F.col("error").isNull() & F.lit(cleanup), "failed").otherwise("not_needed")  # until the clean-up reports
+    return runs.withColumns({"status": status, "last_error_code": code, "cleanup_status": tidy})
+
+
+def cleaned_runs(runs: DataFrame, cleaned: DataFrame) -> DataFrame:
+    """Runs after their clean-up reported (``RUN``, ``cleaned`` boolean)."""
+    joined = runs.join(cleaned.select(*RUN, "cleaned").distinct(), RUN, "left")
+    return joined.withColumn("cleanup_status", F.when(F.col("cleaned"), "completed").when(F.col("cleaned").isNotNull(), "failed").otherwise(F.col("cleanup_status"))).drop("cleaned")
+
+
+def run_summary(windows: DataFrame, stored: DataFrame, skipped: DataFrame, keys: list[str]) -> DataFrame:
+    """Per scope what a maintenance pass did: windows seen, durable ones among them, items stored, candidates left out."""
+    seen = windows.groupBy(*keys).agg(F.count("*").alias("scanned_count"), F.count_if(T.is_durable(F.col("content"))).alias("heuristic_candidate_count"))
+    count = lambda df, n: df.groupBy(*keys).agg(F.count("*").alias(n))
+    all_ = seen.join(count(stored, "inserted_count"), keys, "left").join(count(skipped, "skipped_count"), keys, "left")
+    return all_.select(*keys, F.lit("completed").alias("status"), "scanned_count", "heuristic_candidate_count", *[F.coalesce(n, F.lit(0)).alias(n) for n in ("inserted_count", "skipped_count")])
 
 
-def rejected_paths(existing: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Incoming rows that a reject policy refuses because their path is taken."""
-    return incoming.join(existing.select("user_id", "workspace_id", "path").distinct(), ["user_id", "workspace_id", "path"], "left_semi")
+def import_state(content: Column, readable: Column, logical_date: Column, imported: Column, is_page: Column) -> Column:
+    """State of a file of a workspace to import: the durable page may be absent or a stub, day files unsupported without a date."""
+    stub = T.without_comments(F.coalesce(content, F.lit(""))) == ""
+    known = F.when(imported, "already_imported_active").otherwise("pending")
+    page = F.when(content.isNull(), "absent").when(stub, "stub").otherwise(known)
+    return F.when(is_page, page).otherwise(F.when(~readable | content.isNull(), "unreadable").when(logical_date.isNull(), "unsupported").otherwise(known))

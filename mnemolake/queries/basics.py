@@ -47,14 +47,6 @@ def src03(spark, d):
     return log.withColumn("j", parsed).where("j._bad is null").select("id", F.col("j.id").alias("item"), F.col("j.type").alias("type"), F.col("j.version").alias("version")).distinct()
 
 
-@query("src06_import_states", f"""with {ENTRIES}, s as (select source_kind, case when content is null or trim(regexp_replace(content, '<!--.*?-->', '', 'gs')) = '' then 'stub' when sha256(content) = content_sha256 then 'already_imported_active' else 'pending' end as state from entries)
- select source_kind, state, count(*) as files from s group by all""")
-def src06(spark, d):
-    stub = F.coalesce(T.without_comments(F.col("content")), F.lit("")) == ""
-    state = F.when(stub, "stub").when(F.sha2("content", 256) == F.col("content_sha256"), "already_imported_active").otherwise("pending")
-    return entries(spark, d).groupBy("source_kind", state.alias("state")).agg(F.count("*").alias("files"))
-
-
 @query("src09_point_lookup", f"with {ENTRIES} select id, path, logical_date, source_kind from entries where starts_with(path, 'memory/' || logical_date)")
 def src09(spark, d):
     return entries(spark, d).where(F.col("path").startswith(F.concat(F.lit("memory/"), "logical_date"))).select("id", "path", "logical_date", "source_kind")
@@ -161,13 +153,6 @@ def jon04(spark, d):
     return c.drop("path").join(files, "file_id").groupBy("file_id").agg(F.count("*").alias("n"), F.max("chunk_index").alias("last"), F.min("path").alias("path"))
 
 
-@query("jon08_contained", f"""with {ENTRIES}, {_WINDOWS} select w.id, w.window_index from wins w where exists (select 1 from wins r where r.window_index = 0 and r.id = w.id and r.char_start <= w.char_start and r.char_end + 512 >= w.char_end)""")
-def jon08(spark, d):
-    w = daily.windows(entries(spark, d), "id", "content")
-    done = w.where("window_index = 0").withColumn("char_end", F.col("char_end") + 512)
-    return daily.contained_windows(w, done, "id").select("id", "window_index")
-
-
 @query("jon09_wnd02_pending", f"with {ENTRIES}, {_WINDOWS} select id, window_index from wins w where not exists (select 1 from wins r where r.id = w.id and r.window_index = w.window_index and r.window_index % 2 = 0)")
 def jon09(spark, d):
     w = daily.windows(entries(spark, d), "id", "content")
@@ -182,9 +167,6 @@ def jon12(spark, d):
 
 
 # ---- aggregations ------------------------------------------------------------------------------
-@query("agg02_next_block", f"with {CHUNKS} select file_id, coalesce(max(chunk_index), -1) + 1 as next_index from chunks group by 1")
-def agg02(spark, d):
-    return chunks(spark, d).groupBy("file_id").agg((F.coalesce(F.max("chunk_index"), F.lit(-1)) + 1).alias("next_index"))
 
 
 @query("agg03_by_type", f"with {ITEMS} select type, count(*) as n from items group by 1")
@@ -208,11 +190,6 @@ def agg12(spark, d):
     return chunks(spark, d).groupBy("file_id", "start_line").agg(F.array_join(F.transform(ordered, lambda x: x["text"]), "\n").alias("lines"))
 
 
-@query("agg13_snk05_folded_documents", f"with {CHUNKS} select file_id, string_agg(case when last then text else rtrim(text) end, chr(10) || chr(10) order by chunk_index, id) as content, count(*) as blocks from (select *, row_number() over (partition by file_id order by chunk_index desc, id desc) = 1 as last from chunks where text is not null) group by 1")
-def agg13(spark, d):
-    return daily.folded(chunks(spark, d), ["file_id"], F.struct("chunk_index", "id"), "text")
-
-
 @query("win01_sel02_startup", f"""with {ENTRIES}, hits as (select e.*, e.path = 'memory/' || e.logical_date || '.md' as is_exact from entries e where regexp_matches(e.logical_date, '^\\d{{4}}-\\d\\d-\\d\\d$') and (e.path = 'memory/' || e.logical_date || '.md' or (starts_with(e.path, 'memory/' || e.logical_date || '-') and e.path like '%.md')))
  select id, is_exact, place from (select *, row_number() over (partition by user_id, workspace_id, logical_date, is_exact order by updated_at desc, path desc, id desc)::int as place from hits) where is_exact or place <= 4""".replace("\\\\", "\\"))
 def win01(spark, d):
@@ -227,11 +204,6 @@ def win04(spark, d):
 
 
 # ---- orders ------------------------------------------------------------------------------------
-@query("srt09_sel03_prompt_items", f"""with {ITEMS} select id, place from (select id, row_number() over (partition by user_id, workspace_id order by case type when 'preference' then 0 when 'fact' then 1 when 'decision' then 2 else 3 end, importance desc nulls last, (canonical_key is not null)::int desc, updated_at desc, id)::int as place from items where status = 'active') where place <= 50""")
-def srt09(spark, d):
-    kind = F.when(F.col("type") == "preference", 0).when(F.col("type") == "fact", 1).when(F.col("type") == "decision", 2).otherwise(3)
-    w = Window.partitionBy("user_id", "workspace_id").orderBy(kind, F.col("importance").desc_nulls_last(), F.col("canonical_key").isNotNull().cast("int").desc(), F.col("updated_at").desc(), F.col("id"))
-    return items(spark, d).where("status = 'active'").withColumn("place", F.row_number().over(w)).where("place <= 50").select("id", "place")
 
 
 @query("srt10_rd04_export_rows", f"with {ITEMS} select id, '- ' || coalesce(title, '') || ' (' || type || ')' as line from items where status = 'active' qualify row_number() over (partition by user_id, workspace_id order by importance desc nulls last, updated_at desc, id) <= 200")

@@ -34,6 +34,7 @@ ITEMS = """items as (select * from memory_items qualify row_number() over (parti
 ENTRIES = """entries as (select * from memory_daily_entries qualify row_number() over (partition by id order by updated_at desc nulls last) = 1)"""
 CHUNKS = """chunks as (select * from session_index_chunks qualify row_number() over (partition by id order by created_at desc nulls last) = 1)"""
 EMBEDDINGS = """emb as (select * from memory_item_embeddings qualify row_number() over (partition by memory_item_id, profile_key order by memory_item_version desc nulls last, updated_at desc nulls last) = 1)"""
+BLANKS_SQL = "blanks as (select list_reduce(list_transform([9, 10, 11, 12, 13, 32, 160, 5760, 8192, 8193, 8194, 8195, 8196, 8197, 8198, 8199, 8200, 8201, 8202, 8232, 8233, 8239, 8287, 12288, 65279], lambda x: chr(x::int)), lambda a, x: a || x) as blanks)"
 LEX = r"list_filter(regexp_extract_all(lower(coalesce({0}, '')), '[\p{{L}}\p{{N}}]+'), lambda w: w <> '')"
 
 

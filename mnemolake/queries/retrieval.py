@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from mnemolake.functions import text as T
 from mnemolake.operators import reading, records, search
-from mnemolake.queries.common import CHUNKS, EMBEDDINGS, ENTRIES, ITEMS, REQUESTS, SEARCH_TEXT, chunks, embeddings, entries, items, lex, scope_requests
+from mnemolake.queries.common import BLANKS_SQL, CHUNKS, EMBEDDINGS, ENTRIES, ITEMS, REQUESTS, SEARCH_TEXT, chunks, embeddings, entries, items, lex, scope_requests
 from mnemolake.runtime import table
 
 QUERIES: dict = {}
@@ -125,90 +125,6 @@ def ret15(spark, d):
     return by_key.unionByName(by_text).distinct()
 
 
-# ---- writes ------------------------------------------------------------------------------------
-def _writes(spark, d):
-    return items(spark, d).withColumn("canonical_key", F.when(F.col("canonical_key").isNotNull(), F.concat_ws("-", F.lit("k"), F.substring(F.regexp_replace("canonical_key", "[^a-z]", ""), 1, 2))))
-
-
-_KEYED = "w as (select * replace (case when canonical_key is not null then concat_ws('-', 'k', substr(regexp_replace(canonical_key, '[^a-z]', '', 'g'), 1, 2)) end as canonical_key) from items)"
-_PART = "partition by user_id, workspace_id, namespace, type, canonical_key"
-
-
-@query("snk01_upsert", f"""with {ITEMS}, {_KEYED} select id, version from (select id, row_number() over ({_PART} order by created_at, id)::int as version, count(*) over ({_PART}) as n from w where canonical_key is not null) where version = n
- union all select id, 1 from w where canonical_key is null""")
-def snk01(spark, d):
-    return records.upserted(_writes(spark, d), [F.col("created_at"), F.col("id")]).select("id", F.col("new_version").alias("version"))
-
-
-@query("snk02_normalised_input", f"""with {ITEMS} select id, case when trim(coalesce(title, '')) <> '' then trim(title) else case when length(l) > 120 then substr(l, 1, 120) || '…' else l end end as title,
- case when type in ({', '.join(repr(t) for t in records.TYPES)}) then type else 'note' end as type, greatest(0, least(100, coalesce(importance, 50)))::int as importance
- from (select *, list_filter(list_transform(string_split(content, chr(10)), lambda x: trim(x)), lambda x: x <> '')[1] as l from items where trim(coalesce(content, '')) <> '')""")
-def snk02(spark, d):
-    return records.normalised_input(items(spark, d)).select("id", "title", "type", "importance")
-
-
-@query("snk03_forget", f"with {ITEMS} select id, case when type = 'note' and status <> 'deleted' then 'deleted' else status end as status, type = 'note' and status <> 'deleted' as changed, version from items")
-def snk03(spark, d):
-    i = items(spark, d)
-    return records.forgotten(i, i.where("type = 'note'").select("id")).select("id", "status", F.col("changed"), "version")
-
-
-@query("snk04_audit", f"with {ITEMS}, {_KEYED} select id, row_number() over ({_PART} order by created_at, id)::int as version, case when row_number() over ({_PART} order by created_at, id) = 1 then 'insert' else 'update' end as operation, sha256(lag(content) over ({_PART} order by created_at, id)) as before_hash from w where canonical_key is not null")
-def snk04(spark, d):
-    trail = records.audit_trail(_writes(spark, d), [F.col("created_at"), F.col("id")])
-    return trail.select("id", "version", "operation", F.sha2(F.get_json_object("before", "$.content"), 256).alias("before_hash"))
-
-
-@query("snk09_snk10_snk11_agg10_sync", f"""with {CHUNKS}, f as (select file_id, sha256(string_agg(text, chr(10) order by chunk_index, id)) as hash from chunks group by 1), old as (select file_id, case when hash < '8' then hash else 'x' end as hash from f where hash < 'c'), new as (select * from f where hash > '2')
- select action, count(*) as n from (select case when o.file_id is null then 'indexed' when n.file_id is null then 'removed' when o.hash = n.hash then 'skipped' else 'updated' end as action from new n full join old o on n.file_id = o.file_id) group by 1""")
-def snk09(spark, d):
-    ordered = F.array_sort(F.collect_list(F.struct("chunk_index", "id", "text")))
-    f = chunks(spark, d).groupBy("file_id").agg(F.sha2(F.array_join(F.transform(ordered, lambda x: x["text"]), "\n"), 256).alias("hash"))
-    old = f.where("hash < 'c'").select("file_id", F.when(F.col("hash") < "8", F.col("hash")).otherwise("x").alias("old"))
-    both = f.where("hash > '2'").join(old, "file_id", "full_outer")
-    action = F.when(F.col("old").isNull(), "indexed").when(F.col("hash").isNull(), "removed").when(F.col("old") == F.col("hash"), "skipped").otherwise("updated")
-    return both.groupBy(action.alias("action")).agg(F.count("*").alias("n"))
-
-
-@query("snk12_snk13_insert_if_absent", f"with {ENTRIES}, a as (select content_sha256, path, min(id) as id from entries where source_kind <> 'legacy_import' group by 1, 2) select min(id) as id, content_sha256 from entries e where source_kind = 'legacy_import' and not exists (select 1 from a where a.content_sha256 = e.content_sha256) group by content_sha256")
-def snk12(spark, d):
-    e = entries(spark, d)
-    return records.inserted_if_absent(e.where("source_kind <> 'legacy_import'"), e.where("source_kind = 'legacy_import'"), ["content_sha256"], [F.col("id")]).select("id", "content_sha256")
-
-
-@query("snk15_newest_embedding", f"with {EMBEDDINGS} select memory_item_id, profile_key, memory_item_version from emb")
-def snk15(spark, d):
-    return embeddings(spark, d).select("memory_item_id", "profile_key", "memory_item_version")
-
-
-def _queue(spark, d):
-    e = embeddings(spark, d).join(items(spark, d).select(F.col("id").alias("memory_item_id"), "user_id", "workspace_id"), "memory_item_id")
-    return e.select("user_id", "workspace_id", F.concat_ws(":", "profile_key", "memory_item_id").alias("profile_key"), F.when(F.col("memory_item_version") % 3 == 0, "failed").otherwise("pending").alias("status"),
-                    F.col("memory_item_version").alias("attempts"), F.col("created_at").alias("requested_at"), F.col("updated_at").alias("next_attempt_at"))
-
-
-_QUEUE = f"""{ITEMS}, {EMBEDDINGS}, queue as (select user_id, workspace_id, concat_ws(':', profile_key, memory_item_id) as profile_key, case when memory_item_version % 3 = 0 then 'failed' else 'pending' end as status, memory_item_version as attempts, e.created_at as requested_at, e.updated_at as next_attempt_at from emb e join items i on i.id = e.memory_item_id)"""
-
-
-@query("snk16_srt13_due_requests", f"with {_QUEUE} select profile_key, place from (select *, row_number() over (partition by user_id, workspace_id order by requested_at, profile_key)::int as place from queue where status = 'pending' and next_attempt_at <= timestamptz '2026-03-01 00:00:00+00') where place <= 5")
-def snk16(spark, d):
-    return records.due_requests(_queue(spark, d), F.lit("2026-03-01 00:00:00").cast("timestamp")).select("profile_key", "place")
-
-
-@query("snk17_retries", f"with {_QUEUE} select profile_key, attempts + 1 as attempts, strftime(next_attempt_at + interval 15 minute, '%Y-%m-%d %H:%M:%S') as next_at from queue where status = 'failed'")
-def snk17(spark, d):
-    return records.retried(_queue(spark, d), F.col("status") == "failed").select("profile_key", "attempts", F.date_format("next_attempt_at", "yyyy-MM-dd HH:mm:ss").alias("next_at"))
-
-
-@query("snk20_scl22_metadata_merge", """select id, coalesce(json_extract_string(metadata, '$.timezone'), 'UTC') as zone, coalesce(json_extract_string(metadata, '$.note'), 'none') as note from workspaces""")
-def snk20(spark, d):
-    w = table(spark, d, "workspaces")
-    old = F.from_json(F.lit('{"timezone":"UTC","note":"none"}'), "map<string,string>")
-    new = F.coalesce(F.from_json("metadata", "map<string,string>"), F.create_map().cast("map<string,string>"))
-    merged = F.map_zip_with(old, new, lambda k, a, b: F.coalesce(b, a))  # the right side wins
-    return w.select("id", merged["timezone"].alias("zone"), merged["note"].alias("note"))
-
-
 # ---- imports -----------------------------------------------------------------------------------
 @query("imp01_imp03_markdown_items")
 def imp01(spark, d):
@@ -217,9 +133,10 @@ def imp01(spark, d):
     return blocks.select("doc_id", "block", "title", "type", "canonical_key", reading.import_key(F.col("canonical_key"), F.col("content")).alias("import_key"))
 
 
-@query("imp02_stubs", r"select doc_id from documents where trim(regexp_replace(text, '<!--.*?-->', '', 'gs')) = ''")
+@query("imp02_stubs", f"with {BLANKS_SQL} select doc_id, trim(regexp_replace(text, '<!--.*?-->', '', 'gs'), blanks) = '' as stub, trim(regexp_replace(text, '[^<>!-]', '', 'g') || '<!-- x -->', blanks) <> '' as marked from documents, blanks where text is not null")
 def imp02(spark, d):
-    return table(spark, d, "documents").where(T.without_comments(F.col("text")) == "").select("doc_id")
+    marks = F.concat(F.regexp_replace("text", "[^<>!-]", ""), F.lit("<!-- x -->"))
+    return table(spark, d, "documents").where("text is not null").select("doc_id", (T.without_comments(F.col("text")) == "").alias("stub"), (T.whole_trim(marks) != "").alias("marked"))
 
 
 @query("rd01_first_page", """select id, case when length(string_split(coalesce(content, ''), chr(10))[1]) > 60 then substr(string_split(coalesce(content, ''), chr(10))[1], 1, 60) else string_split(coalesce(content, ''), chr(10))[1] end as page, len(string_split(coalesce(content, ''), chr(10)))::int as total_lines

@@ -24,16 +24,6 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
-@query("src07_txt18_jon13_generated_sessions", "select session_id, bool_or(coalesce(contains(session_key, ':cron:') or contains(session_key, 'telegram'), false)) as generated from session_messages where session_id is not null group by 1")
-def src07(spark, d):
-    m = table(spark, d, "session_messages").where("session_id is not null")
-    entry = F.struct(F.concat_ws("|", "session_key", "session_id").alias("key"), F.struct(F.col("session_id").alias("sessionId")).alias("value"))
-    store = m.select("agent_id", "session_id", "session_key").distinct().select(F.to_json(F.map_from_entries(F.array(entry))).alias("json"))  # one JSON object per key of the store
-    listed = store.select(F.explode(F.from_json("json", "map<string,struct<sessionId:string>>")).alias("key", "v"))
-    generated = F.coalesce(F.col("key").contains(":cron:") | F.col("key").contains("telegram"), F.lit(False))
-    return listed.groupBy(F.col("v.sessionId").alias("session_id")).agg(F.bool_or(generated).alias("generated"))
-
-
 @query("src08_catalog", "select 'memory_items' as name, true as present union all select 'missing', false")
 def src08(spark, d):
     hadoop = spark._jvm.org.apache.hadoop.fs
@@ -80,12 +70,6 @@ def agg09(spark, d):
     return entries(spark, d).agg(F.count_if(F.col("content").isNull()).alias("unreadable"), F.count_if(F.col("source_kind") == "legacy_import").alias("imported"), F.count_if(F.col("content_sha256") != F.sha2("content", 256)).alias("changed"), F.count("*").alias("files"))
 
 
-@query("agg08_pending_totals", "select workspace_id, sum(length(coalesce(content, '')))::bigint as pending_bytes, count(*) as pending_messages, count(distinct session_id) as files from session_messages where record_type = 'message' group by 1")
-def agg08(spark, d):
-    m = table(spark, d, "session_messages").where("record_type = 'message'")
-    return m.groupBy("workspace_id").agg(F.sum(F.length(F.coalesce("content", F.lit("")))).cast("bigint").alias("pending_bytes"), F.count("*").alias("pending_messages"), F.countDistinct("session_id").alias("files"))
-
-
 @query("set02_srt05_merged_order", f"""with {ITEMS}, {CHUNKS}, h as (select user_id, workspace_id, 'memory' as corpus, 'db-memory/items/' || id || '.md' as path, length(content) % 7 as score, importance, updated_at from items union all select user_id, workspace_id, 'sessions', path || '#' || id, length(text) % 7, null, null from chunks)
  select path, row_number() over (partition by user_id, workspace_id order by score desc nulls last, (corpus = 'memory')::int desc, case when corpus = 'memory' then coalesce(importance, -1) end desc nulls last, case when corpus = 'memory' then updated_at end desc nulls last, path)::int as place from h""")
 def set02(spark, d):
@@ -97,35 +81,6 @@ def set02(spark, d):
     return a.unionByName(b).withColumn("place", F.row_number().over(Window.partitionBy("user_id", "workspace_id").orderBy(*order))).select(F.col("id").alias("path"), "place")
 
 
-@query("srt14_snk14_latest_runs", f"with {ENTRIES} select id, attempt from (select id, row_number() over (partition by user_id, workspace_id, source_kind order by created_at, id)::int as attempt, count(*) over (partition by user_id, workspace_id, source_kind) as n from entries) where attempt = n")
-def srt14(spark, d):
-    return selection.latest_runs(entries(spark, d), ["user_id", "workspace_id", "source_kind"], [F.col("created_at"), F.col("id")]).select("id", "attempt")
-
-
-@query("snk06_reject_policy", f"with {ENTRIES} select a.id from entries a where a.source_kind = 'memory_log' and exists (select 1 from entries b where b.source_kind <> 'memory_log' and b.user_id = a.user_id and b.workspace_id = a.workspace_id and b.path = a.path)")
-def snk06(spark, d):
-    e = entries(spark, d)
-    return selection.rejected_paths(e.where("source_kind <> 'memory_log'"), e.where("source_kind = 'memory_log'")).select("id")
-
-
-@query("snk18_receipts", f"with {ENTRIES}, r as (select content_sha256 as k, min(id) as id from entries group by 1) select k, id from r")
-def snk18(spark, d):
-    e = entries(spark, d).select(F.col("content_sha256").alias("k"), "id")
-    return records.inserted_if_absent(e.limit(0), e, ["k"], [F.col("id")]).select("k", "id")
-
-
-@query("snk22_scl03_scl04_capture_ids", "select session_id, substr(sha256(json_object('agent', agent_id, 'session', session_id)::varchar), 1, 32) as source_id, min(ingested_at) as first_at from session_messages where session_id is not null group by session_id, agent_id")
-def snk22(spark, d):
-    ident = F.substring(F.sha2(F.to_json(F.struct(F.col("agent_id").alias("agent"), F.col("session_id").alias("session")), {"ignoreNullFields": "false"}), 256), 1, 32)
-    m = table(spark, d, "session_messages").where("session_id is not null").groupBy("session_id", "agent_id").agg(F.min("ingested_at").alias("first_at"))
-    return m.select("session_id", ident.alias("source_id"), "first_at")
-
-
-@query("snk23_block_zero", f"with {ENTRIES} select id as daily_entry_id, 0::bigint as block_index, sha256(content) as content_sha256 from entries where content is not null")
-def snk23(spark, d):
-    return entries(spark, d).where("content is not null").select(F.col("id").alias("daily_entry_id"), F.lit(0).cast("bigint").alias("block_index"), F.sha2("content", 256).alias("content_sha256"))
-
-
 @query("sel01_startup_days", """select id, array_to_string(case when date '2026-03-01' > t then ['2026-03-01', strftime(t, '%Y-%m-%d'), strftime(t - 1, '%Y-%m-%d')] when date '2026-03-01' < t and strftime(t - 1, '%Y-%m-%d') <> '2026-03-01' then [strftime(t, '%Y-%m-%d'), strftime(t - 1, '%Y-%m-%d'), '2026-03-01'] else [strftime(t, '%Y-%m-%d'), strftime(t - 1, '%Y-%m-%d')] end, ',') as days
  from (select distinct id, timezone(json_extract_string(metadata, '$.timezone'), timestamptz '2026-03-01 03:00:00+00')::date as t from workspaces)""")
 def sel01(spark, d):
