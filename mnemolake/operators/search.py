@@ -1,9 +1,11 @@
 """Retrieval: strict, relaxed and fuzzy tiers, vectors, fusion, for many requests at once.
 
-A request is a row (``request``, ``user_id``, ``workspace_id``, ``query``). Requests are joined with
-the rows of their scope by equality, ranked inside the request and cut there, so one plan answers
-one request or a million. Requests come from callers, their number is bounded by the caller; where
-it is small the optimizer broadcasts them by its own size check.
+A request is a row (``request``, ``user_id``, ``workspace_id``, ``query``). A text request meets the
+postings (scope, lexeme) of its longest lexeme, so of a hot scope only the rows with that lexeme
+are looked at, and the join key of a hot scope is as many keys as it has lexemes; the candidates are
+then tested whole, ranked inside the request and cut there. So one plan answers one request or a
+million. Requests come from callers, their number is bounded by the caller; where it is small the
+optimizer broadcasts them by its own size check.
 
 Defined results: null content matches only by title or key; a query without lexemes finds nothing;
 equal scores are ordered by importance, update time (newer first) and id; repeated rows of an item
@@ -17,13 +19,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mnemolake.functions import text as T
+from mnemolake.runtime import written
 
-HIT = ["request", "tier", "corpus", "id", "score", "rank"]
 
 
 def live_items(items: DataFrame) -> DataFrame:
-    """One row per item id: the newest version."""
-    newest = Window.partitionBy("id").orderBy(F.col("version").desc_nulls_last(), F.col("updated_at").desc_nulls_last(), F.xxhash64("content"))
+    """One row per item id: the newest version. Only the columns that are there decide, so callers prune first."""
+    tie = [F.xxhash64("content")] if "content" in items.columns else []
+    newest = Window.partitionBy("id").orderBy(F.col("version").desc_nulls_last(), F.col("updated_at").desc_nulls_last(), *tie)
     return items.withColumn("_n", F.row_number().over(newest)).where("_n = 1").drop("_n")
 
 
@@ -32,20 +35,44 @@ def live_entries(entries: DataFrame) -> DataFrame:
     return entries.withColumn("_n", F.row_number().over(newest)).where("_n = 1").drop("_n")
 
 
+SCOPE = ["user_id", "workspace_id"]
+
+
+def candidates(docs: DataFrame, requests: DataFrame) -> DataFrame:
+    """``docs`` (scope, unique ``id``, ``_doc`` lexemes) with every request of their scope whose lexemes all are among ``_doc``.
+
+    Candidates come from the postings of the request's longest lexeme.
+    """
+    asked = requests.select("request", *SCOPE, "query", F.array_distinct(T.lexemes(F.col("query"))).alias("_q")).where(F.size("_q") > 0)
+    asked = asked.withColumn("_w", F.array_max(F.transform("_q", lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"])
+    postings = docs.select(*SCOPE, "id", F.explode(F.array_distinct("_doc")).alias("_w"))
+    pairs = postings.join(asked, [*SCOPE, "_w"]).select("id", "request", "query", "_q")
+    return docs.join(pairs, "id").where(T.matches_all(F.col("_doc"), F.col("_q")))
+
+
 def cover_density(doc: Column, query: Column, weight: float = 0.1) -> Column:
     """Sum over minimal covers of the query's lexemes, each worth less the more it spans.
 
-    For every place that ends a cover, its start is the least of the last places of all lexemes; of
-    the covers with one start the shortest counts. All inside one array expression.
+    One pass over the places of the query's lexemes, which remembers the last place of each: at every
+    place the least of them is the start of the cover that ends there; it never falls, and a start
+    seen before was met by a shorter cover. So the work is linear in the text.
     """
     places = F.filter(F.transform(doc, lambda w, i: F.struct(w.alias("w"), (i + 1).alias("p"))), lambda x: F.array_contains(query, x["w"]))
-    last = lambda e: F.transform(query, lambda q: F.array_max(F.transform(F.filter(places, lambda x: (x["w"] == q) & (x["p"] <= e["p"])), lambda x: x["p"])))
-    covers = F.transform(places, lambda e: F.struct(F.when(F.forall(last(e), lambda p: p.isNotNull()), F.array_min(last(e))).alias("b"), e["p"].alias("e")))
-    sound = F.filter(covers, lambda c: c["b"].isNotNull())
-    minimal = F.filter(sound, lambda c: ~F.exists(sound, lambda d: (d["b"] == c["b"]) & (d["e"] < c["e"])))
-    inside = lambda c: F.size(F.filter(places, lambda x: (x["p"] >= c["b"]) & (x["p"] <= c["e"])))
-    worth = F.transform(minimal, lambda c: F.lit(weight) / (1 + (c["e"] - c["b"]) - (inside(c) - 1)))
-    return F.aggregate(worth, F.lit(0.0), lambda a, x: a + x)
+    places = F.transform(places, lambda x, k: F.struct(x["w"].alias("w"), x["p"].alias("p"), k.alias("k")))
+    none = F.transform(query, lambda q: F.lit(None).cast("struct<p:int,k:int>"))
+
+    def step(s: Column, x: Column) -> Column:
+        last = F.transform(s["last"], lambda l, j: F.when(F.get(query, j) == x["w"], F.struct(x["p"].alias("p"), x["k"].alias("k"))).otherwise(l))
+
+        def after(n: Column) -> Column:
+            low = F.array_min(n)
+            same = F.exists(n, lambda y: y.isNull()) | (low["p"] == s["b"])
+            worth = F.lit(weight) / (1 + (x["p"] - low["p"]) - (x["k"] - low["k"]))
+            return F.struct(n.alias("last"), F.when(same, s["b"]).otherwise(low["p"]).alias("b"), (s["total"] + F.when(same, 0.0).otherwise(worth)).alias("total"))
+
+        return F.get(F.transform(F.array(last), after), F.lit(0))
+
+    return F.aggregate(places, F.struct(none.alias("last"), F.lit(0).alias("b"), F.lit(0.0).alias("total")), step, lambda s: s["total"])
 
 
 def _ranked(hits: DataFrame, order: list[Column], k: int) -> DataFrame:
@@ -61,32 +88,30 @@ def daily_order() -> list[Column]:
     return [F.col("score").desc(), F.col("logical_date").desc_nulls_last(), F.col("updated_at").desc_nulls_last(), F.col("id").asc()]
 
 
+ITEM_COLUMNS = ["user_id", "workspace_id", "id", "version", "status", "type", "title", "content", "canonical_key", "importance", "updated_at"]
+
+
 def strict_items(items: DataFrame, requests: DataFrame, k: int = 10) -> DataFrame:
-    live = live_items(items).where("status = 'active'")
-    doc = live.select(
-        "user_id", "workspace_id", "id", "title", "content", "canonical_key", "importance", "updated_at",
-        T.lexemes(T.search_text(F.col("title"), F.col("content"), F.col("canonical_key"))).alias("_doc"),
-    )
-    found = doc.join(_prepared(requests), ["user_id", "workspace_id"]).where(T.matches_all(F.col("_doc"), F.col("_q")))
+    live = live_items(items.select(*ITEM_COLUMNS)).where("status = 'active'")
+    doc = live.withColumns({"_doc": T.lexemes(T.search_text(F.col("title"), F.col("content"), F.col("canonical_key"))), "path": item_path()})
     low = F.lower("query")
     boost = (
         F.when(F.lower(F.coalesce("title", F.lit(""))) == low, 3.0).when(F.lower("content") == low, 2.5).when(F.lower(F.coalesce("canonical_key", F.lit(""))) == low, 2.25).otherwise(0.0)
     )
-    scored = found.withColumn("score", F.round(cover_density(F.col("_doc"), F.col("_q")) + boost, 6))
+    scored = candidates(doc, requests).withColumn("score", F.round(cover_density(F.col("_doc"), F.col("_q")) + boost, 6))
     return _ranked(scored, item_order(), k)
 
 
-def _prepared(requests: DataFrame) -> DataFrame:
-    return requests.select("request", "user_id", "workspace_id", "query", F.array_distinct(T.lexemes(F.col("query"))).alias("_q"))
+def item_path() -> Column:
+    return F.concat(F.lit("db-memory/items/"), F.col("id"), F.lit(".md"))
 
 
 def strict_daily(entries: DataFrame, requests: DataFrame, k: int = 10) -> DataFrame:
     """Internal source kinds stay hidden."""
-    live = live_entries(entries).where("source_kind <> 'session_memory'")
-    doc = live.select("user_id", "workspace_id", "id", "content", "logical_date", "updated_at", T.lexemes(F.col("content")).alias("_doc"))
-    found = doc.join(_prepared(requests), ["user_id", "workspace_id"]).where(T.matches_all(F.col("_doc"), F.col("_q")))
+    live = live_entries(entries.select("user_id", "workspace_id", "id", "path", "content", "source_kind", "logical_date", "updated_at")).where("source_kind <> 'session_memory'")
+    doc = live.withColumn("_doc", T.lexemes(F.col("content")))
     boost = F.when(F.lower("content") == F.lower("query"), 2.5).otherwise(0.0)
-    scored = found.withColumn("score", F.round(cover_density(F.col("_doc"), F.col("_q")) + boost, 6))
+    scored = candidates(doc, requests).withColumn("score", F.round(cover_density(F.col("_doc"), F.col("_q")) + boost, 6))
     return _ranked(scored, daily_order(), k)
 
 
@@ -96,37 +121,43 @@ def relaxed(requests: DataFrame) -> DataFrame:
     return forms.withColumn("request", F.concat_ws("#", F.col("base").cast("string"), F.col("form").cast("string")))
 
 
-def _merged(items_hits: DataFrame, daily_hits: DataFrame, k: int) -> DataFrame:
-    """Durable and daily hits in one list per request: score, then durable first."""
-    a = items_hits.select("request", F.lit("memory").alias("corpus"), "id", "score", F.col("importance").cast("int").alias("importance"), F.col("updated_at"))
-    b = daily_hits.select("request", F.lit("daily").alias("corpus"), "id", "score", F.lit(None).cast("int").alias("importance"), F.col("updated_at"))
-    return a.unionByName(b)
+_SHOWN = ["request", "corpus", "id", "path", "score", "importance", "updated_at"]
+
+
+def _items_as_hits(hits: DataFrame) -> DataFrame:
+    return hits.select("request", F.lit("memory").alias("corpus"), "id", "path", "score", F.col("importance").cast("int").alias("importance"), "updated_at")
+
+
+def _daily_as_hits(hits: DataFrame) -> DataFrame:
+    return hits.select("request", F.lit("daily").alias("corpus"), "id", "path", "score", F.lit(None).cast("int").alias("importance"), "updated_at")
 
 
 def hit_order() -> list[Column]:
-    """The one total order of merged lists: score, durable first, then importance and update time of durable rows, path."""
+    """The one total order of merged lists: score, durable first, then importance (none is 0) and update time of durable rows, path."""
     durable = F.col("corpus") == "memory"
     return [
-        F.col("score").desc(), durable.cast("int").desc(), F.when(durable, F.coalesce("importance", F.lit(-1))).desc_nulls_last(),
-        F.when(durable, F.col("updated_at")).desc_nulls_last(), F.col("id").asc(),
+        F.col("score").desc(), durable.cast("int").desc(), F.when(durable, F.coalesce("importance", F.lit(0))).desc_nulls_last(),
+        F.when(durable, F.col("updated_at")).desc_nulls_last(), F.col("path").asc(),
     ]
 
 
-def _relaxed_hits(items: DataFrame, entries: DataFrame, requests: DataFrame, k: int, with_items: bool = True) -> DataFrame:
+def _relaxed_hits(items: DataFrame | None, entries: DataFrame, requests: DataFrame, k: int) -> DataFrame:
+    """Hits of all relaxed forms, the best of each row: its highest score, of equal ones the first form's."""
     forms = relaxed(requests)
-    keys = forms.select("request", "base", "form")
-    daily = strict_daily(entries, forms, k)
-    hits = _merged(strict_items(items, forms, k), daily, k) if with_items else _merged(strict_items(items.limit(0), forms.limit(0), k), daily, k)
-    joined = hits.join(keys, "request")
+    hits = _daily_as_hits(strict_daily(entries, forms, k))
+    if items is not None:
+        hits = _items_as_hits(strict_items(items, forms, k)).unionByName(hits)
+    joined = hits.join(forms.select("request", "base", "form"), "request")
     best = Window.partitionBy("base", "corpus", "id").orderBy(F.col("score").desc(), F.col("form"))
-    return joined.withColumn("_b", F.row_number().over(best)).where("_b = 1").select(F.col("base").alias("request"), "corpus", "id", "score", "importance", "updated_at")
+    kept = joined.withColumn("_b", F.row_number().over(best)).where("_b = 1").drop("request").withColumnRenamed("base", "request")
+    return kept.select(*_SHOWN)
 
 
 def fuzzy_items(items: DataFrame, requests: DataFrame, k: int = 10) -> DataFrame:
     """Trigram tier: set similarity, best-extent similarity, and substring boosts (``%`` and ``_`` stay live)."""
-    live = live_items(items).where("status = 'active'")
+    live = live_items(items.select(*ITEM_COLUMNS)).where("status = 'active'").withColumn("path", item_path())
     st = F.lower(T.search_text(F.col("title"), F.col("content"), F.col("canonical_key")))
-    doc = live.select("user_id", "workspace_id", "id", "importance", "updated_at", st.alias("_st"), F.lower(F.coalesce("canonical_key", F.lit(""))).alias("_key"), T.trigrams(st).alias("_tg"))
+    doc = live.select("user_id", "workspace_id", "id", "path", "importance", "updated_at", st.alias("_st"), F.lower(F.coalesce("canonical_key", F.lit(""))).alias("_key"), T.trigrams(st).alias("_tg"))
     asked = requests.select("request", "user_id", "workspace_id", F.lower("query").alias("_low"), T.trigrams(F.col("query")).alias("_qg"))
     pairs = doc.join(asked, ["user_id", "workspace_id"])
     like, like_key = F.expr("_st like concat('%', _low, '%')"), F.expr("_key like concat('%', _low, '%')")
@@ -168,22 +199,24 @@ def word_similarity(text: str, grams: set[str]) -> float:
 
 
 def cascade(items: DataFrame, entries: DataFrame, requests: DataFrame, k: int = 10) -> DataFrame:
-    """Strict hits; where a request has none, relaxed hits; where it still has none, fuzzy hits."""
-    strict = _merged(strict_items(items, requests, k), strict_daily(entries, requests, k), k).withColumn("tier", F.lit(1))
-    open1 = requests.join(strict.select("request").distinct(), "request", "left_anti")
-    second = _relaxed_hits(items, entries, open1, k).withColumn("tier", F.lit(2))
-    open2 = open1.join(second.select("request").distinct(), "request", "left_anti")
-    third = fuzzy_items(items, open2, k).select("request", F.lit("memory").alias("corpus"), "id", "score", F.col("importance").cast("int").alias("importance"), "updated_at", F.lit(3).alias("tier"))
-    return _ranked(strict.unionByName(second).unionByName(third), hit_order(), k).select(*HIT)
+    """Strict hits; where a request has none, relaxed hits; where it still has none, fuzzy hits.
 
+    Each tier is written before the next is planned, so it is computed once and the next sees only what is left.
+    """
+    strict = _items_as_hits(strict_items(items, requests, k)).unionByName(_daily_as_hits(strict_daily(entries, requests, k)))
+    tiers = [written(strict.withColumn("tier", F.lit(1)), "tier-1")]
+    left = requests.join(tiers[0].select("request").distinct(), "request", "left_anti")
+    tiers.append(written(_relaxed_hits(items, entries, left, k).withColumn("tier", F.lit(2)), "tier-2"))
+    left = left.join(tiers[1].select("request").distinct(), "request", "left_anti")
+    tiers.append(_items_as_hits(fuzzy_items(items, left, k)).withColumn("tier", F.lit(3)))
+    return _ranked(tiers[0].unionByName(tiers[1]).unionByName(tiers[2]), hit_order(), k)
 
-def daily_cascade(entries: DataFrame, items: DataFrame, requests: DataFrame, k: int = 10) -> DataFrame:
+
+def daily_cascade(entries: DataFrame, requests: DataFrame, k: int = 10) -> DataFrame:
     """Strict, then relaxed, over daily entries alone."""
-    none = items.limit(0)
-    strict = _merged(strict_items(none, requests.limit(0), k), strict_daily(entries, requests, k), k).withColumn("tier", F.lit(1))
+    strict = written(_daily_as_hits(strict_daily(entries, requests, k)).withColumn("tier", F.lit(1)), "tier-1")
     left = requests.join(strict.select("request").distinct(), "request", "left_anti")
-    second = _relaxed_hits(items, entries, left, k, with_items=False).withColumn("tier", F.lit(2))
-    return _ranked(strict.unionByName(second), hit_order(), k).select(*HIT)
+    return _ranked(strict.unionByName(_relaxed_hits(None, entries, left, k).withColumn("tier", F.lit(2))), hit_order(), k)
 
 
 def cosine(a: Column, b: Column) -> Column:
@@ -205,39 +238,50 @@ def current_embeddings(embeddings: DataFrame) -> DataFrame:
 
 
 def semantic(items: DataFrame, embeddings: DataFrame, requests: DataFrame, k: int = 10) -> DataFrame:
-    """Exact cosine scan inside the scope; requests carry ``profile_key`` and ``vector``; stale or misfit vectors are out."""
-    live = live_items(items).where("status = 'active'").select("user_id", "workspace_id", "id", "version", "importance", "updated_at")
+    """Exact cosine scan inside the scope; requests carry ``profile_key`` and ``vector``; stale or misfit vectors are out.
+
+    It compares every vector of the scope with every request of it, as an exact scan must; for all
+    against all there is the index of problem 4.
+    """
+    live = live_items(items.select("user_id", "workspace_id", "id", "version", "status", "importance", "updated_at")).where("status = 'active'").drop("status")
     emb = current_embeddings(embeddings).where(is_usable(F.col("embedding"), F.col("dimensions"))).select(
         F.col("memory_item_id").alias("id"), "profile_key", "embedding", F.col("memory_item_version").alias("_v"), "dimensions"
     )
     pairs = live.join(emb, "id").where(F.col("version").eqNullSafe(F.col("_v"))).join(requests, ["user_id", "workspace_id", "profile_key"])
     scored = pairs.where(F.size("vector") == F.col("dimensions")).withColumn("score", F.round(cosine(F.col("embedding"), F.col("vector")), 6)).where("score is not null")
-    return _ranked(scored, item_order(), k)
+    return _ranked(scored.withColumn("path", item_path()), item_order(), k)
 
 
 def fuse(lexical: DataFrame, vector: DataFrame, k: int = 10, base: int = 60) -> DataFrame:
-    """Reciprocal ranks of two ranked lists (``request``, ``id``, ``rank``), summed per hit; a request without vector hits keeps its list."""
-    part = lambda df, n: df.select("request", "id", "importance", "updated_at", (1.0 / (base + F.col("rank"))).alias("r"), F.lit(n).alias("_from"), "rank")
-    both = part(lexical, 0).unionByName(part(vector, 1))
+    """Reciprocal ranks of two ranked lists (``request``, ``corpus``, ``id``, ``path``, ``score``, ``importance``, ``updated_at``, ``rank``).
+
+    Ranks are summed per hit; the appearance with the higher score represents it (of equal ones the
+    lexical) and lends it everything but the score. A request without vector hits keeps its list and scores.
+    """
+    shown = F.struct(F.col("score").alias("shown_score"), F.lit(0).alias("_first"), "corpus", "path", "importance", "updated_at")
+    part = lambda df, first: df.select("request", "id", (1.0 / (base + F.col("rank"))).alias("r"), shown.withField("_first", F.lit(first)).alias("s"), F.when(F.lit(first) == 1, F.col("rank")).alias("lex"))
     hybrid = vector.select("request").distinct().withColumn("_h", F.lit(True))
-    merged = both.join(hybrid, "request", "left").groupBy("request", "id").agg(
-        F.sum("r").alias("rrf"), F.max("importance").alias("importance"), F.max("updated_at").alias("updated_at"),
-        F.min(F.when(F.col("_from") == 0, F.col("rank"))).alias("lex"), F.max(F.coalesce("_h", F.lit(False))).alias("h"),
-    )
-    scored = merged.withColumn("score", F.round(F.when(F.col("h"), F.col("rrf")).otherwise(-F.col("lex").cast("double")), 9))
-    order = [F.col("score").desc(), F.col("importance").desc_nulls_last(), F.col("updated_at").desc_nulls_last(), F.col("id").asc()]
-    return _ranked(scored, order, k).select("request", "id", "rank")
+    both = part(lexical, 1).unionByName(part(vector, 0)).join(hybrid, "request", "left")
+    merged = both.groupBy("request", "id").agg(F.sum("r").alias("rrf"), F.max("s").alias("s"), F.min("lex").alias("lex"), F.max(F.coalesce("_h", F.lit(False))).alias("hybrid"))
+    rows = merged.select("request", "id", "s.*", "lex", "hybrid", F.round(F.when(F.col("hybrid"), F.col("rrf")).otherwise(F.col("s.shown_score")), 9).alias("score")).drop("_first")
+    return _ranked(rows, [F.when(~F.col("hybrid"), F.col("lex")).asc_nulls_first(), *hit_order()], k).drop("lex")
+
+
+def session_files(chunks: DataFrame) -> DataFrame:
+    """The files of an index: (scope, ``path``, ``file_updated_at``, ``lines``)."""
+    return chunks.groupBy("user_id", "workspace_id", "path").agg(F.max("created_at").alias("file_updated_at"), F.count("*").alias("lines"))
 
 
 def session_hits(chunks: DataFrame, requests: DataFrame, k: int = 10, agent: str | None = None) -> DataFrame:
-    """Transcript index: path words weigh 1.0, text words 0.4."""
+    """Transcript index: path words weigh 1.0, text words 0.4; newer files first among equals."""
     newest = Window.partitionBy("id").orderBy(F.col("created_at").desc_nulls_last())
-    rows = chunks.withColumn("_n", F.row_number().over(newest)).where("_n = 1")
+    rows = chunks.select("user_id", "workspace_id", "id", "path", "chunk_index", "start_line", "end_line", "text", "created_at").withColumn("_n", F.row_number().over(newest)).where("_n = 1").drop("_n")
     if agent is not None:
         rows = rows.where(F.col("path").startswith(f"sessions/{agent}/"))
-    doc = rows.select("user_id", "workspace_id", "id", "path", "chunk_index", "text", "created_at", T.lexemes(F.col("path")).alias("_p"), T.lexemes(F.col("text")).alias("_t"))
-    found = doc.join(_prepared(requests), ["user_id", "workspace_id"]).where(T.matches_all(F.array_union("_p", "_t"), F.col("_q")))
+    doc = rows.join(session_files(rows), ["user_id", "workspace_id", "path"])
+    doc = doc.withColumns({"_p": T.lexemes(F.col("path")), "_t": T.lexemes(F.col("text"))}).withColumn("_doc", F.array_union("_p", "_t"))
+    found = candidates(doc, requests)
     in_text = F.when(T.matches_all(F.col("_t"), F.col("_q")), cover_density(F.col("_t"), F.col("_q"), 0.4)).otherwise(0.0)
     in_path = F.when(T.matches_all(F.col("_p"), F.col("_q")), cover_density(F.col("_p"), F.col("_q"), 1.0)).otherwise(0.0)
     scored = found.withColumn("score", F.round(in_text + in_path, 6))
-    return _ranked(scored, [F.col("score").desc(), F.col("created_at").desc_nulls_last(), F.col("path"), F.col("chunk_index"), F.col("id")], k)
+    return _ranked(scored, [F.col("score").desc(), F.col("file_updated_at").desc_nulls_last(), F.col("path"), F.col("chunk_index"), F.col("id")], k)

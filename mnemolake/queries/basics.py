@@ -127,12 +127,6 @@ def prj02(spark, d):
     return chunks(spark, d).select("id", F.when(F.length(cut) == 240, F.concat(cut, F.lit("…"))).otherwise(cut).alias("snippet"))
 
 
-@query("prj06_citations", f"with {CHUNKS} select id, path || '#L' || start_line || case when end_line <> start_line then '-L' || end_line else '' end as citation from chunks")
-def prj06(spark, d):
-    tail = F.when(F.col("end_line") != F.col("start_line"), F.concat(F.lit("-L"), F.col("end_line").cast("string"))).otherwise("")
-    return chunks(spark, d).select("id", F.concat("path", F.lit("#L"), F.col("start_line").cast("string"), tail).alias("citation"))
-
-
 # ---- joins -------------------------------------------------------------------------------------
 @query("jon01_current_vectors", f"with {ITEMS}, {EMBEDDINGS} select i.id, e.profile_key from items i join emb e on i.id = e.memory_item_id where i.version is not distinct from e.memory_item_version and i.status = 'active'")
 def jon01(spark, d):
@@ -146,13 +140,6 @@ def jon02(spark, d):
     return records.embedding_backlog(items(spark, d), embeddings(spark, d), "local:mini-64").groupBy("state").agg(F.count("*").alias("n"))
 
 
-@query("jon04_chunk_files", f"with {CHUNKS} select file_id, count(*) as n, max(chunk_index) as last, min(path) as path from chunks group by 1")
-def jon04(spark, d):
-    c = chunks(spark, d)
-    files = c.groupBy("file_id").agg(F.min("path").alias("path"))
-    return c.drop("path").join(files, "file_id").groupBy("file_id").agg(F.count("*").alias("n"), F.max("chunk_index").alias("last"), F.min("path").alias("path"))
-
-
 @query("jon09_wnd02_pending", f"with {ENTRIES}, {_WINDOWS} select id, window_index from wins w where not exists (select 1 from wins r where r.id = w.id and r.window_index = w.window_index and r.window_index % 2 = 0)")
 def jon09(spark, d):
     w = daily.windows(entries(spark, d), "id", "content")
@@ -317,8 +304,3 @@ def rd06(spark, d):
     item_paths = table(spark, d, "memory_items").select(F.concat(F.lit("db-memory/items/"), "id", F.lit(".md")).alias("path"))
     paths = entries(spark, d).select("path").unionByName(chunks(spark, d).select("path")).unionByName(item_paths)
     return paths.groupBy(reading.path_kind(F.col("path")).alias("kind")).agg(F.count("*").alias("n"))
-
-
-@query("ret03_relaxed_queries", None)
-def ret03(spark, d):
-    return items(spark, d).where("title is not null").select("id", F.array_join(T.relaxed_queries(F.col("title")), "|").alias("forms"))
