@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mnemolake.functions import text as T
+from mnemolake.functions import transcript_text as X
 from mnemolake.functions.scalars import is_transient
 
 
@@ -59,23 +60,66 @@ def websearch(words: Column, text: Column, query: str) -> Column:
 
 
 def extractor_candidates(outputs: DataFrame, key: str, text: str, cap: int = 10) -> DataFrame:
-    """Candidates out of a model's answer: the JSON object inside fences or prose, strictly checked, confidence floored and bounded."""
-    shape = "struct<summary:string,candidates:array<struct<content:string,type:string,canonicalKey:string,confidence:double>>>"
-    body = F.regexp_extract(F.col(text), r"(?s)(\{.*\})", 1)
-    rows = outputs.where(F.try_parse_json(F.nullif(body, F.lit(""))).isNotNull()).select(key, F.from_json(body, shape).alias("o"))
-    rows = rows.select(key, F.posexplode("o.candidates").alias("place", "c")).where((F.trim(F.coalesce("c.content", F.lit(""))) != "") & (F.col("place") < cap))
-    confidence = F.greatest(F.lit(0), F.least(F.lit(100), F.floor(F.coalesce("c.confidence", F.lit(0.0))))).cast("int")
-    return rows.select(key, "place", F.trim("c.content").alias("content"), F.col("c.type").alias("type"), F.col("c.canonicalKey").alias("canonical_key"), confidence.alias("confidence"))
+    """Candidates out of a model's answer: a JSON object in a fence or in prose, taken only if all of it is as it must be.
+
+    Strict: a text ``summary`` and a list ``candidates``; each with content, type fact or note, a key that is
+    no blank where it is there, a finite number as confidence where it is there (floored, within 0 and 100).
+    One bad candidate spoils the answer; the first ``cap`` are taken.
+    """
+    fenced = F.regexp_extract(F.col(text), r"(?s)```(?:json)?\s*(.*?)\s*```", 1)
+    body = F.when(F.col(text).rlike(r"(?s)```(?:json)?\s*.*?\s*```") & (fenced != ""), F.trim(fenced)).otherwise(F.regexp_extract(F.col(text), r"(?s)(\{.*\})", 1))
+    rows = outputs.select(key, F.nullif(body, F.lit("")).alias("_b"))
+    rows = rows.where(F.try_parse_json("_b").isNotNull() & F.col("_b").rlike(r"^\s*\{"))
+    rows = rows.withColumn("_o", F.from_json("_b", "struct<summary:string,candidates:array<string>>"))
+    is_text = lambda j, p: F.schema_of_variant(F.variant_get(F.try_parse_json(j), p, "variant")) == "STRING"
+    kind = lambda j, p: F.schema_of_variant(F.variant_get(F.try_parse_json(j), p, "variant"))
+    number = lambda k: k.startswith("BIGINT") | k.startswith("DECIMAL") | k.startswith("DOUBLE")
+    rows = rows.where(is_text(F.col("_b"), "$.summary") & F.coalesce(kind(F.col("_b"), "$.candidates").startswith("ARRAY"), F.lit(False)))
+    shape = "struct<content:string,type:string,canonicalKey:string,confidence:double>"
+
+    def sound(j: Column) -> Column:
+        c, k, n = F.from_json(j, shape), kind(j, "$.canonicalKey"), kind(j, "$.confidence")
+        return F.coalesce(
+            j.rlike(r"^\s*\{") & is_text(j, "$.content") & (T.whole_trim(c["content"]) != "") & c["type"].isin("fact", "note")
+            & (k.isNull() | ((k == "STRING") & (T.whole_trim(c["canonicalKey"]) != ""))) & (n.isNull() | number(n)), F.lit(False),
+        )
+
+    rows = rows.where(F.forall("_o.candidates", sound)).select(key, F.posexplode(F.slice("_o.candidates", 1, cap)).alias("place", "_j")).withColumn("c", F.from_json("_j", shape))
+    confidence = F.greatest(F.lit(0), F.least(F.lit(100), F.floor("c.confidence"))).cast("int")
+    return rows.select(key, "place", T.whole_trim(F.col("c.content")).alias("content"), F.col("c.type").alias("type"), T.whole_trim(F.col("c.canonicalKey")).alias("canonical_key"), F.when(F.col("c.confidence").isNotNull(), confidence).alias("confidence"))
 
 
 def capture_turns(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Turns of a stored capture: a line ``role: text`` opens a turn, the lines after it go on with it."""
-    lines = docs.select(key, F.posexplode(F.split(text, "\n")).alias("n", "line"))
+    """Messages of a stored capture: after the heading of its summary (or from the start), a line ``role: text`` opens one, the lines after it go on.
+
+    Texts are cleaned as captures are; empty ones are left, and an assistant's text that repeats the message before it.
+    """
+    whole = F.replace(F.col(text), F.lit("\r\n"), F.lit("\n"))
+    lines = docs.select(key, F.posexplode(F.split(whole, "\n", -1)).alias("n", "line"))
+    w = Window.partitionBy(key)
+    lines = lines.withColumn("_from", F.min(F.when(T.whole_trim(F.col("line")) == "### Conversation Summary", F.col("n"))).over(w)).where("_from is null or n > _from")
     head = F.col("line").rlike(r"^(?:user|assistant):(?:\s|$)")
-    lines = lines.withColumn("turn", F.sum(head.cast("int")).over(Window.partitionBy(key).orderBy("n").rowsBetween(Window.unboundedPreceding, 0))).where("turn > 0")
+    lines = lines.withColumn("turn", F.sum(head.cast("int")).over(w.orderBy("n").rowsBetween(Window.unboundedPreceding, 0))).where("turn > 0")
     parts = F.array_sort(F.collect_list(F.struct("n", "line")))
     turns = lines.groupBy(key, "turn").agg(F.array_join(F.transform(parts, lambda x: x["line"]), "\n").alias("t"))
-    return turns.select(key, "turn", F.regexp_extract("t", "^(user|assistant):", 1).alias("role"), F.trim(F.regexp_replace("t", r"^(?:user|assistant):\s?", "")).alias("text"))
+    turns = turns.select(key, "turn", F.regexp_extract("t", "^(user|assistant):", 1).alias("role"), X.capture_text(F.regexp_replace("t", r"^(?:user|assistant):\s?", ""), all_markers=True).alias("text"))
+    turns = turns.where("text is not null")
+    before = Window.partitionBy(key).orderBy("turn")
+    # of a row of equal assistant texts the first stands, and what follows it is compared with the same text
+    again = (F.col("role") == "assistant") & (F.lag("role").over(before) == "assistant") & (F.lag("text").over(before) == F.col("text"))
+    turns = turns.withColumn("_again", F.coalesce(again, F.lit(False))).where("not _again")
+    return turns.select(key, F.row_number().over(before).alias("turn"), "role", "text")
+
+
+def recent_tail(turns: DataFrame, key: str, budget: int, marker: str = "...[earlier session messages omitted]...") -> DataFrame:
+    """Newest whole messages of each capture (``turn``, ``role``, ``text``) that fit ``budget`` characters, as one text; a marker leads where some were left out and it fits."""
+    line = F.concat("role", F.lit(": "), "text")
+    back = Window.partitionBy(key).orderBy(F.col("turn").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    rows = turns.withColumn("_line", line).withColumns({"_used": F.sum(F.length("_line") + 1).over(back) - 1, "_all": F.count("*").over(Window.partitionBy(key))})
+    kept = rows.where(F.col("_used") <= budget).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("turn", "_line"))).alias("_l"), F.max("_used").alias("_u"), F.max("_all").alias("_n"))
+    body = F.array_join(F.transform("_l", lambda x: x["_line"]), "\n")
+    marked = (F.size("_l") < F.col("_n")) & (F.col("_u") + 1 + len(marker) <= budget)
+    return kept.select(key, F.when(marked, F.concat(F.lit(marker + "\n"), body)).otherwise(body).alias("text"), F.size("_l").alias("shown"))
 
 
 RUN = ["user_id", "workspace_id", "source_kind", "source_path", "source_sha256"]

@@ -32,21 +32,6 @@ def src01(spark, d):
     return items(spark, d).join(scopes, ["user_id", "workspace_id"]).select("user_id", "workspace_id", "id", "type")
 
 
-@query("src02_transcript_files", f"""with {CHUNKS} select distinct path, agent_id, case when path like '%.jsonl.reset.%' then 'reset' when path like '%.jsonl.deleted.%' then 'deleted' when path like '%.jsonl' then 'primary' end as kind from chunks
- where path is not null and path not like '%sessions.json' and path not like '%.trajectory.jsonl'""")
-def src02(spark, d):
-    name = F.element_at(F.split("path", "/"), -1)
-    return chunks(spark, d).where("path is not null").select("path", "agent_id", reading.transcript_kind(name).alias("kind")).where("kind is not null").distinct()
-
-
-@query("src03_json_lines", """select id, json_extract_string(after, '$.id') as item, json_extract_string(after, '$.type') as type, try_cast(json_extract_string(after, '$.version') as bigint) as version
- from memory_audit_log where after is not null and json_valid(after) and item_id is not null group by all""")
-def src03(spark, d):
-    log = table(spark, d, "memory_audit_log").where("after is not null and item_id is not null")
-    parsed = F.from_json("after", "id string, type string, version bigint, _bad string", {"columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE"})
-    return log.withColumn("j", parsed).where("j._bad is null").select("id", F.col("j.id").alias("item"), F.col("j.type").alias("type"), F.col("j.version").alias("version")).distinct()
-
-
 @query("src09_point_lookup", f"with {ENTRIES} select id, path, logical_date, source_kind from entries where starts_with(path, 'memory/' || logical_date)")
 def src09(spark, d):
     return entries(spark, d).where(F.col("path").startswith(F.concat(F.lit("memory/"), "logical_date"))).select("id", "path", "logical_date", "source_kind")
@@ -171,12 +156,6 @@ def agg07(spark, d):
     return items(spark, d).where("tags is not null").select("id", F.array_join(F.array_distinct("tags"), ",").alias("tags"))
 
 
-@query("agg12_lines_by_source", f"with {CHUNKS} select file_id, start_line, string_agg(text, chr(10) order by chunk_index, id) as lines from chunks group by 1, 2")
-def agg12(spark, d):
-    ordered = F.array_sort(F.collect_list(F.struct("chunk_index", "id", "text")))
-    return chunks(spark, d).groupBy("file_id", "start_line").agg(F.array_join(F.transform(ordered, lambda x: x["text"]), "\n").alias("lines"))
-
-
 @query("win01_sel02_startup", f"""with {ENTRIES}, hits as (select e.*, e.path = 'memory/' || e.logical_date || '.md' as is_exact from entries e where regexp_matches(e.logical_date, '^\\d{{4}}-\\d\\d-\\d\\d$') and (e.path = 'memory/' || e.logical_date || '.md' or (starts_with(e.path, 'memory/' || e.logical_date || '-') and e.path like '%.md')))
  select id, is_exact, place from (select *, row_number() over (partition by user_id, workspace_id, logical_date, is_exact order by updated_at desc, path desc, id desc)::int as place from hits) where is_exact or place <= 4""".replace("\\\\", "\\"))
 def win01(spark, d):

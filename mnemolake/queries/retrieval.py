@@ -318,8 +318,3 @@ def imp02(spark, d):
  from (select * from memory_daily_entries qualify row_number() over (partition by id order by updated_at desc) = 1)""")
 def rd01(spark, d):
     return reading.page(entries(spark, d), "content", 1, 1, 60).select("id", "page", "total_lines")
-
-
-@query("rd02_pages")
-def rd02(spark, d):
-    return reading.page(entries(spark, d), "content", 2, 120, 400).select("id", "page", "truncated", "next_from", "total_lines")

@@ -59,12 +59,6 @@ def prj04(spark, d):
     return items(spark, d).select("id", boost.alias("boost"))
 
 
-@query("jon10_probe", f"with {CHUNKS} select distinct w.id from workspaces w where exists (select 1 from chunks c where c.workspace_id = w.id and c.user_id = w.user_id)")
-def jon10(spark, d):
-    c = chunks(spark, d).select(F.col("workspace_id").alias("id"), "user_id").distinct()
-    return table(spark, d, "workspaces").join(c, ["id", "user_id"], "left_semi").select("id").distinct()
-
-
 @query("agg09_state_counters", f"with {ENTRIES} select count_if(content is null) as unreadable, count_if(source_kind = 'legacy_import') as imported, count_if(content_sha256 <> sha256(content)) as changed, count(*) as files from entries")
 def agg09(spark, d):
     return entries(spark, d).agg(F.count_if(F.col("content").isNull()).alias("unreadable"), F.count_if(F.col("source_kind") == "legacy_import").alias("imported"), F.count_if(F.col("content_sha256") != F.sha2("content", 256)).alias("changed"), F.count("*").alias("files"))
@@ -105,17 +99,6 @@ def ext01(spark, d):
     return selection.extractor_candidates(items(spark, d).select("id", answer.alias("answer")), "id", "answer")
 
 
-@query("txt15_capture_turns")
-def txt15(spark, d):
-    return selection.capture_turns(table(spark, d, "documents").where("source = 'session_capture'"), "doc_id", "text")
-
-
-@query("txt08_txt10_system_texts", r"select row_id, regexp_matches(ltrim(content), '(?i)^exec finished(?::|\s*\()') as exec_event, starts_with(trim(content), '[cron:') as cron from session_messages where content is not null")
-def txt08(spark, d):
-    m = table(spark, d, "session_messages").where("content is not null")
-    return m.select("row_id", F.ltrim("content").rlike(r"(?i)^exec finished(?::|\s*\()").alias("exec_event"), F.trim("content").startswith("[cron:").alias("cron"))
-
-
 @query("scl12_dates_of_paths", rf"with {ENTRIES} select id, strftime(try_strptime(regexp_extract(path, '(\d{{4}}-\d{{2}}-\d{{2}})', 1), '%Y-%m-%d'), '%Y-%m-%d') as day from entries")
 def scl12(spark, d):
     day = F.nullif(F.regexp_extract("path", r"(\d{4}-\d{2}-\d{2})", 1), F.lit("")).try_cast("date")
