@@ -27,15 +27,6 @@ def startup_days(zone: Column, now: Column, days: int = 2) -> Column:
     return F.when(utc > today, F.concat(F.array(name), local)).when((utc < today) & ~F.array_contains(local, name), F.concat(local, F.array(name))).otherwise(local)
 
 
-def quota_within_budget(items: DataFrame, quotas: dict[str, int], budget: int, size: Column, order: list[Column]) -> DataFrame:
-    """Per scope: at most so many of each type, in the given order, until the first that no longer fits."""
-    by_type = Window.partitionBy("user_id", "workspace_id", "type").orderBy(*order)
-    limit = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in quotas.items() for x in kv]), F.col("type")), F.lit(0))
-    kept = items.withColumn("_n", F.row_number().over(by_type)).where(F.col("_n") <= limit)
-    running = Window.partitionBy("user_id", "workspace_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return kept.withColumn("used", F.sum(size).over(running)).where(F.col("used") <= budget).drop("_n")
-
-
 def websearch(words: Column, text: Column, query: str) -> Column:
     """Web-style query over the lexemes ``words`` of ``text``: quoted phrases, ``or``, leading minus; plain words must all be there."""
     joined = F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))
@@ -165,3 +156,8 @@ def import_state(content: Column, readable: Column, logical_date: Column, import
     known = F.when(imported, "already_imported_active").otherwise("pending")
     page = F.when(content.isNull(), "absent").when(stub, "stub").otherwise(known)
     return F.when(is_page, page).otherwise(F.when(~readable | content.isNull(), "unreadable").when(logical_date.isNull(), "unsupported").otherwise(known))
+
+
+def first_rows(rows: DataFrame, keys: list[Column | str], order: list[Column]) -> DataFrame:
+    """The first row of each key, which may be an expression."""
+    return rows.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_n = 1").drop("_n")

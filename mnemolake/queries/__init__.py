@@ -6,7 +6,7 @@ import importlib
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ["pipeline", "basics", "retrieval", "transcripts", "selections", "functions", "writes"]
+MODULES = ["pipeline", "basics", "retrieval", "transcripts", "selections", "functions", "writes", "upkeep"]
 
 
 def _gather(name: str) -> dict:

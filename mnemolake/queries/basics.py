@@ -32,11 +32,6 @@ def src01(spark, d):
     return items(spark, d).join(scopes, ["user_id", "workspace_id"]).select("user_id", "workspace_id", "id", "type")
 
 
-@query("src09_point_lookup", f"with {ENTRIES} select id, path, logical_date, source_kind from entries where starts_with(path, 'memory/' || logical_date)")
-def src09(spark, d):
-    return entries(spark, d).where(F.col("path").startswith(F.concat(F.lit("memory/"), "logical_date"))).select("id", "path", "logical_date", "source_kind")
-
-
 @query("src10_ordinality", f"with {ITEMS} select id, generate_subscripts(tags, 1) as place, unnest(tags) as tag from items")
 def src10(spark, d):
     return items(spark, d).select("id", F.posexplode("tags").alias("p", "tag")).select("id", (F.col("p") + 1).cast("bigint").alias("place"), "tag")
@@ -125,12 +120,6 @@ def jon02(spark, d):
     return records.embedding_backlog(items(spark, d), embeddings(spark, d), "local:mini-64").groupBy("state").agg(F.count("*").alias("n"))
 
 
-@query("jon09_wnd02_pending", f"with {ENTRIES}, {_WINDOWS} select id, window_index from wins w where not exists (select 1 from wins r where r.id = w.id and r.window_index = w.window_index and r.window_index % 2 = 0)")
-def jon09(spark, d):
-    w = daily.windows(entries(spark, d), "id", "content")
-    return daily.pending(w, w.where("window_index % 2 = 0"), ["id", "window_index"]).select("id", "window_index")
-
-
 @query("jon12_shared_workspaces", f"with {CHUNKS}, g as (select distinct workspace_id, agent_id from chunks) select a.agent_id, b.agent_id as peer, count(*) as workspaces from g a join g b on a.workspace_id = b.workspace_id and a.agent_id < b.agent_id group by all")
 def jon12(spark, d):
     g = chunks(spark, d).select("workspace_id", "agent_id").distinct()  # a handful of agents a workspace
@@ -164,21 +153,9 @@ def win01(spark, d):
     return daily.startup_entries(e, days).select("id", "is_exact", "place")
 
 
-@query("win04_bud06_budget", f"with {CHUNKS} select id, used from (select id, sum(length(text)) over (partition by file_id order by chunk_index, id rows unbounded preceding)::bigint as used from chunks) where used <= 1000")
-def win04(spark, d):
-    return daily.within_budget(chunks(spark, d), ["file_id"], [F.col("chunk_index"), F.col("id")], F.length("text"), 1000).select("id", F.col("used").cast("bigint").alias("used"))
-
-
 # ---- orders ------------------------------------------------------------------------------------
 
 
-@query("srt10_rd04_export_rows", f"with {ITEMS} select id, '- ' || coalesce(title, '') || ' (' || type || ')' as line from items where status = 'active' qualify row_number() over (partition by user_id, workspace_id order by importance desc nulls last, updated_at desc, id) <= 200")
-def srt10(spark, d):
-    w = Window.partitionBy("user_id", "workspace_id").orderBy(F.col("importance").desc_nulls_last(), F.col("updated_at").desc(), F.col("id"))
-    rows = items(spark, d).where("status = 'active'").withColumn("n", F.row_number().over(w)).where("n <= 200")
-    return rows.select("id", F.concat(F.lit("- "), F.coalesce("title", F.lit("")), F.lit(" ("), "type", F.lit(")")).alias("line"))
-
-
 @query("srt16_last_messages", "select session_id, row_id from session_messages where session_id is not null qualify row_number() over (partition by session_id order by ingested_at desc, row_id desc) <= 15")
 def srt16(spark, d):
     w = Window.partitionBy("session_id").orderBy(F.col("ingested_at").desc(), F.col("row_id").desc())

@@ -312,9 +312,3 @@ def imp01(spark, d):
 def imp02(spark, d):
     marks = F.concat(F.regexp_replace("text", "[^<>!-]", ""), F.lit("<!-- x -->"))
     return table(spark, d, "documents").where("text is not null").select("doc_id", (T.without_comments(F.col("text")) == "").alias("stub"), (T.whole_trim(marks) != "").alias("marked"))
-
-
-@query("rd01_first_page", """select id, case when length(string_split(coalesce(content, ''), chr(10))[1]) > 60 then substr(string_split(coalesce(content, ''), chr(10))[1], 1, 60) else string_split(coalesce(content, ''), chr(10))[1] end as page, len(string_split(coalesce(content, ''), chr(10)))::int as total_lines
- from (select * from memory_daily_entries qualify row_number() over (partition by id order by updated_at desc) = 1)""")
-def rd01(spark, d):
-    return reading.page(entries(spark, d), "content", 1, 1, 60).select("id", "page", "total_lines")

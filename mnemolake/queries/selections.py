@@ -31,13 +31,6 @@ def src08(spark, d):
     return spark.createDataFrame([(n, bool(here(n))) for n in ("memory_items", "missing")], "name string, present boolean")
 
 
-@query("flt04_optional_types", f"with {ITEMS} select id from items where (null is null) and (type = any(['fact', 'note']))")
-def flt04(spark, d):
-    types = ["fact", "note"]
-    rows = items(spark, d)
-    return (rows.where(F.col("type").isin(types)) if types else rows).select("id")
-
-
 @query("flt06_websearch", f"with {ITEMS}, w as (select id, ' ' || array_to_string({lex(SEARCH_TEXT)}, ' ') || ' ' as s from items) select id from w where (contains(s, ' look at ') and not contains(s, ' court ')) or contains(s, ' choir ')")
 def flt06(spark, d):
     st = T.search_text(F.col("title"), F.col("content"), F.col("canonical_key"))
@@ -86,19 +79,6 @@ def sel01(spark, d):
 _ORDER = "importance desc nulls last, updated_at desc, id"
 
 
-@query("bud01_prompt_budget", f"""with {ITEMS}, k as (select *, row_number() over (partition by user_id, workspace_id, type order by {_ORDER}) as n from items where status = 'active'), q as (select * from k where n <= case type when 'fact' then 5 when 'note' then 3 else 0 end)
- select id, used from (select id, sum(length(content)) over (partition by user_id, workspace_id order by {_ORDER} rows unbounded preceding)::bigint as used from q) where used <= 900""")
-def bud01(spark, d):
-    order = [F.col("importance").desc_nulls_last(), F.col("updated_at").desc(), F.col("id")]
-    return selection.quota_within_budget(items(spark, d).where("status = 'active'"), {"fact": 5, "note": 3}, 900, F.length("content"), order).select("id", F.col("used").cast("bigint").alias("used"))
-
-
-@query("ext01_extractor_output")
-def ext01(spark, d):
-    answer = F.concat(F.lit("Here it is:\n```json\n"), F.to_json(F.struct(F.lit("s").alias("summary"), F.array(F.struct("content", "type", F.col("canonical_key").alias("canonicalKey"), (F.col("confidence") + 0.7).alias("confidence"))).alias("candidates"))), F.lit("\n```"))
-    return selection.extractor_candidates(items(spark, d).select("id", answer.alias("answer")), "id", "answer")
-
-
 @query("scl12_dates_of_paths", rf"with {ENTRIES} select id, strftime(try_strptime(regexp_extract(path, '(\d{{4}}-\d{{2}}-\d{{2}})', 1), '%Y-%m-%d'), '%Y-%m-%d') as day from entries")
 def scl12(spark, d):
     day = F.nullif(F.regexp_extract("path", r"(\d{4}-\d{2}-\d{2})", 1), F.lit("")).try_cast("date")
@@ -110,16 +90,3 @@ def scl19(spark, d):
     from mnemolake.functions.scalars import chunked
 
     return items(spark, d).where("tags is not null").select("id", F.size(chunked(F.col("tags"), 2)).alias("parts"))
-
-
-@query("scl28_item_kinds", f"with {ITEMS} select id, case when regexp_matches(lower(trim(title)), 'fact|preference') then 'fact' else 'note' end as kind from items where title is not null")
-def scl28(spark, d):
-    return items(spark, d).where("title is not null").select("id", F.when(F.lower(F.trim("title")).rlike("fact|preference"), "fact").otherwise("note").alias("kind"))
-
-
-@query("rd03_read_router", f"with {ITEMS}, {ENTRIES}, p as (select 'db-memory/items/' || id || '.md' as path, content from items where status <> 'deleted' union all select 'db-memory/daily/' || id || '.md', content from entries where source_kind <> 'session_memory') select path, length(content)::int as size from p")
-def rd03(spark, d):
-    a = items(spark, d).where("status <> 'deleted'").select(F.concat(F.lit("db-memory/items/"), "id", F.lit(".md")).alias("path"), "content")
-    b = entries(spark, d).where("source_kind <> 'session_memory'").select(F.concat(F.lit("db-memory/daily/"), "id", F.lit(".md")).alias("path"), "content")
-    both = a.unionByName(b).withColumn("kind", reading.path_kind(F.col("path")))
-    return both.where(F.col("kind").isin("item", "daily_id")).select("path", F.length("content").alias("size"))

@@ -292,7 +292,7 @@ def _triggers(spark, d):
     return _updates(spark, d).where("agent_id is not null").select("agent_id", F.unix_millis("at").alias("at_ms"), "seq")
 
 
-_EVENTS = f"with recursive {_UPDATES}, e as (select agent_id, epoch_us(at) // 1000 as ms, case when seq % 5 = 0 then 'drop' else 'read' end as kind, seq from u where agent_id is not null)"
+_EVENTS = f"with recursive {_UPDATES}, e as (select agent_id, epoch_us(u.at) // 1000 as ms, case when seq % 5 = 0 then 'drop' else 'read' end as kind, seq from u where agent_id is not null)"
 
 
 @query("str10_maintenance_runs", f"""{_EVENTS}, o as (select agent_id, ms, row_number() over (partition by agent_id order by ms) as k from e),
@@ -304,7 +304,7 @@ def str10(spark, d):
 
 
 @query("str12_cache_outcomes", f"""{_EVENTS}, o as (select *, row_number() over (partition by agent_id order by ms, kind, seq) as k from e),
- st as (select distinct agent_id, 0::bigint as k, null::bigint as loaded, null as outcome from o union all
+ st as (select distinct agent_id, 0::bigint as k, null::bigint as loaded, null::varchar as outcome from o union all
   select n.agent_id, n.k, case when n.kind = 'drop' then null when n.ms < p.loaded + 60000 then p.loaded else n.ms end, case when n.kind = 'drop' then null when n.ms < p.loaded + 60000 then 'hit' else 'load' end from st p join o n on n.agent_id = p.agent_id and n.k = p.k + 1)
  select agent_id, outcome, count(*) as n from st where outcome is not null group by 1, 2""")
 def str12(spark, d):
