@@ -41,7 +41,7 @@ TASKS_HEAD, TASKS_TAIL = "Run the following periodic tasks (only those due based
 # Patterns of host-made messages.
 SYSTEM_MESSAGE = r"^System(?: \(untrusted\))?: \[[^\]]+\]\s*"
 CRON_PROMPT = r"^\[cron:[^\]]+\]\s*"
-EXEC_EVENTS = (r"(?i)^exec finished(?::|\s*\()", r"(?is)^exec (?:completed|failed) \([a-z0-9_-]{1,64}, (?:code -?\d+|signal [^)]+)\)(?: :: .*)?$")
+EXEC_EVENTS = (r"(?i)^exec finished(?::|\s*\()", r"(?is)^exec (?:completed|failed) \([a-z0-9_-]{1,64}, (?:code -?\d+|signal [^)]+)\)(?: :: .*)?(?!.)")
 CRON_RUN_KEY = r"^agent:[^:]+:cron:[^:]+:run:[^:]+(?::|$)"
 DREAM_RUN = "dreaming-narrative-"
 

@@ -58,14 +58,14 @@ def agg09(spark, d):
 
 
 @query("set02_srt05_merged_order", f"""with {ITEMS}, {CHUNKS}, h as (select user_id, workspace_id, 'memory' as corpus, 'db-memory/items/' || id || '.md' as path, length(content) % 7 as score, importance, updated_at from items union all select user_id, workspace_id, 'sessions', path || '#' || id, length(text) % 7, null, null from chunks)
- select path, row_number() over (partition by user_id, workspace_id order by score desc nulls last, (corpus = 'memory')::int desc, case when corpus = 'memory' then coalesce(importance, -1) end desc nulls last, case when corpus = 'memory' then updated_at end desc nulls last, path)::int as place from h""")
+ select path, row_number() over (partition by user_id, workspace_id order by score desc nulls last, (corpus = 'memory')::int desc, case when corpus = 'memory' then coalesce(importance, 0) end desc nulls last, case when corpus = 'memory' then updated_at end desc nulls last, path)::int as place from h""")
 def set02(spark, d):
-    a = items(spark, d).select("user_id", "workspace_id", F.lit("memory").alias("corpus"), F.concat(F.lit("db-memory/items/"), "id", F.lit(".md")).alias("id"), (F.length("content") % 7).alias("score"), F.col("importance").cast("int").alias("importance"), "updated_at")
-    b = chunks(spark, d).select("user_id", "workspace_id", F.lit("sessions").alias("corpus"), F.concat_ws("#", "path", "id").alias("id"), (F.length("text") % 7).alias("score"), F.lit(None).cast("int").alias("importance"), F.lit(None).cast("timestamp").alias("updated_at"))
+    a = items(spark, d).select("user_id", "workspace_id", F.lit("memory").alias("corpus"), F.concat(F.lit("db-memory/items/"), "id", F.lit(".md")).alias("path"), (F.length("content") % 7).alias("score"), F.col("importance").cast("int").alias("importance"), "updated_at")
+    b = chunks(spark, d).select("user_id", "workspace_id", F.lit("sessions").alias("corpus"), F.concat_ws("#", "path", "id").alias("path"), (F.length("text") % 7).alias("score"), F.lit(None).cast("int").alias("importance"), F.lit(None).cast("timestamp").alias("updated_at"))
     from mnemolake.operators.search import hit_order
 
     order = [F.col("score").desc_nulls_last(), *hit_order()[1:]]
-    return a.unionByName(b).withColumn("place", F.row_number().over(Window.partitionBy("user_id", "workspace_id").orderBy(*order))).select(F.col("id").alias("path"), "place")
+    return a.unionByName(b).withColumn("place", F.row_number().over(Window.partitionBy("user_id", "workspace_id").orderBy(*order))).select("path", "place")
 
 
 @query("sel01_startup_days", """select id, array_to_string(case when date '2026-03-01' > t then ['2026-03-01', strftime(t, '%Y-%m-%d'), strftime(t - 1, '%Y-%m-%d')] when date '2026-03-01' < t and strftime(t - 1, '%Y-%m-%d') <> '2026-03-01' then [strftime(t, '%Y-%m-%d'), strftime(t - 1, '%Y-%m-%d'), '2026-03-01'] else [strftime(t, '%Y-%m-%d'), strftime(t - 1, '%Y-%m-%d')] end, ',') as days

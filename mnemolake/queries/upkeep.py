@@ -177,8 +177,8 @@ def scl28(spark, d):
     return rows.withColumn("kind", reading.guessed_type(F.col("t")))
 
 
-@query("ext01_extractor_output", f"""with {ITEMS} select id, 0 as place, trim(content) as content, type, trim(canonical_key) as canonical_key, case when confidence is not null then greatest(0, least(100, floor(confidence + 0.7)))::int end as confidence from items, (select ' ' as sp)
- where type in ('fact', 'note') and trim(coalesce(content, '')) <> '' and (canonical_key is null or trim(canonical_key) <> '') and ord(id) % 5 <> 0 union all select id, 1, 'second', 'fact', null, null from items where type in ('fact', 'note') and trim(coalesce(content, '')) <> '' and (canonical_key is null or trim(canonical_key) <> '') and ord(id) % 5 <> 0""")
+@query("ext01_extractor_output", f"""with {ITEMS}, {BLANKS_SQL} select id, 0 as place, trim(content, blanks) as content, type, trim(canonical_key, blanks) as canonical_key, case when confidence is not null then greatest(0, least(100, floor(confidence + 0.7)))::int end as confidence from items, blanks
+ where type in ('fact', 'note') and trim(coalesce(content, ''), blanks) <> '' and (canonical_key is null or trim(canonical_key, blanks) <> '') and ord(id) % 5 <> 0 union all select id, 1, 'second', 'fact', null, null from items, blanks where type in ('fact', 'note') and trim(coalesce(content, ''), blanks) <> '' and (canonical_key is null or trim(canonical_key, blanks) <> '') and ord(id) % 5 <> 0""")
 def ext01(spark, d):
     """Answers with two candidates; every fifth is spoilt by a confidence in words."""
     first = F.struct("content", "type", F.col("canonical_key").alias("canonicalKey"), (F.col("confidence") + F.lit(0.7).cast("double")).alias("confidence"))
