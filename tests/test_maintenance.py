@@ -1,13 +1,33 @@
-from mnemolake.plans.maintenance import cycle
-
-
-def test_cycle(spark):
-    say = "We must always remember that the coach prefers the early train on Monday."
-    entries = spark.createDataFrame([("e1", "u", "w", f"short\n{say}\r\nnothing here"), ("e2", "u", "w", say.upper()), ("e3", "v", "w", say), ("e4", "u", "w", None)], "id string, user_id string, workspace_id string, content string")
-    items = spark.createDataFrame([("v", "w", "active", say.lower()), ("u", "w", "deleted", say)], "user_id string, workspace_id string, status string, content string")
-    none = spark.createDataFrame([], "id string, window_index int")
-    found, receipts = cycle(entries, items, none)
-    assert [(r["id"], r["content"]) for r in found.collect()] == [("e1", say)]
-    assert {(r["id"], r["window_index"]) for r in receipts.collect()} == {("e1", 0), ("e2", 0), ("e3", 0)}
-    found, receipts = cycle(entries, items, receipts)
-    assert found.count() == 0 and receipts.count() == 0
+from datetime import datetime
+
+from mnemolake.plans import maintenance
+
+AT = datetime(2026, 1, 1)
+BLOCK = "id string, user_id string, workspace_id string, path string, logical_date string, block_index bigint, content string, source_kind string, extra int"
+ITEM = "user_id string, workspace_id string, id string, version int, status string, type string, title string, content string, canonical_key string, importance smallint, updated_at timestamp"
+
+
+def test_a_pass_takes_one_path_and_skips_what_is_known(spark):
+    long = "Remember that the red door of the house is always locked at night."
+    blocks = [("a", "u", "w", "memory/1.md", "2026-01-01", 0, long, "memory_log", 1), ("b", "u", "w", "memory/1.md", "2026-01-01", 1, "Never forget that the blue door stays open on every Monday.", "memory_log", 1),
+              ("c", "u", "w", "memory/2.md", "2026-01-02", 0, long, "memory_log", 1), ("d", "u", "w", "memory/0.md", "2026-01-01", 0, long, "compaction_flush", 1), ("e", "u", "v", "memory/1.md", "2026-01-01", 0, None, "memory_log", 1)]
+    df = spark.createDataFrame(blocks, BLOCK)
+    items = spark.createDataFrame([("u", "w", "i", 1, "active", "note", None, long.upper(), None, 1, AT)], ITEM)
+    none = spark.createDataFrame([], "id string, pipeline_version int, window_index int")
+    c = maintenance.cycle(df, items, none)
+    assert [r["content"] for r in c.stored.collect()] == ["Never forget that the blue door stays open on every Monday."] and c.skipped.count() == 1
+    assert sorted(r["id"] for r in c.receipts.collect()) == ["a", "b"]
+    assert [tuple(r) for r in c.summary.collect()] == [("u", "w", "completed", 2, 2, 1, 1)]
+    done = c.receipts.select("id", "pipeline_version", "window_index")
+    assert [r["id"] for r in maintenance.cycle(df, items, done).receipts.collect()] == ["c"]
+    assert maintenance.cycle(df.limit(0), items, none).receipts.count() == 0
+
+
+def test_a_window_too_long_for_the_transcript(spark):
+    df = spark.createDataFrame([("a", "u", "w", "memory/1.md", "2026-01-01", 0, "x" * 900, "memory_log", 1)], BLOCK)
+    none = spark.createDataFrame([], "id string, pipeline_version int, window_index int")
+    pending = maintenance.pending_windows(maintenance.block_windows(maintenance.ordered_blocks(df)), none)
+    transcripts, read = maintenance.packed(pending, 100)
+    assert [r["error"] is not None for r in transcripts.collect()] == [True] and read.count() == 0
+    two, read = maintenance.packed(pending, 5_000)
+    assert two.first()["source_path"] == "memory/1.md#block=1&window=1..memory/1.md#block=1&window=2" and read.count() == 2
