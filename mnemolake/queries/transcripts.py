@@ -116,13 +116,10 @@ def txt13(spark, d):
     return _messages(spark, d).select("row_id", X.capture_text(F.col("content")).alias("text"), X.capture_text(F.col("content"), True).alias("bare"))
 
 
-_MIRROR = (F.col("provider") == "host") & (F.col("model") == "delivery-mirror")
-
-
 @query("txt14_captured_messages")
 def txt14(spark, d):
     m = _messages(spark, d).where("session_id is not null").withColumn("role", F.lower(F.trim("role")))
-    return transcripts.captured_messages(m, ["session_id"], [F.col("ingested_at"), F.col("row_id")], _MIRROR)
+    return transcripts.captured_messages(m, ["session_id"], [F.col("ingested_at"), F.col("row_id")], (F.col("provider") == "host") & (F.col("model") == "delivery-mirror"))
 
 
 _TURNS = rf"""docs as (select doc_id, string_split(replace(text, chr(13) || chr(10), chr(10)), chr(10)) as ls from documents where source = 'session_capture' and text is not null), ln as (select doc_id, unnest(ls) as line, generate_subscripts(ls, 1) as n from docs),
