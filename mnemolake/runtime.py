@@ -26,12 +26,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 def shared_dir(spark: SparkSession) -> str:
     """Folder that all executors share.
 
-    It is the one named in ``spark.checkpoint.dir``; only a session without that setting (a local
-    test) gets a temporary folder, which is then kept for the life of the session.
+    It is the one named in ``spark.checkpoint.dir``; only a local session without that setting (a
+    test) gets a temporary folder, which is then kept for the life of the session. On a cluster
+    without that setting there is none, and asking for it is an error.
     """
     named = spark.conf.get(SHARED_DIR_CONF, None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError(f"set {SHARED_DIR_CONF} to a folder that all executors share")
     own = getattr(spark, "_mnemolake_shared_dir", None)
     if own is None:
         own = "file://" + tempfile.mkdtemp(prefix="mnemolake-")
@@ -40,7 +43,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def shared_path(spark: SparkSession, tag: str) -> str:
-    return f"{shared_dir(spark)}/mnemolake/{tag}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{tag}-{uuid.uuid4().hex}"
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/mnemolake/{spark.sparkContext.applicationId}"
+
+
+def forget_written(spark: SparkSession) -> None:
+    """Delete what this application wrote into the shared folder; results not yet taken are lost with it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def written(df: DataFrame, tag: str) -> DataFrame:

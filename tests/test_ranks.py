@@ -9,3 +9,15 @@ def test_rank_of_a_hot_group(spark):
         part = sorted((r["v"], r["place"]) for r in got if r["k"] == k)
         assert [p for _, p in part] == list(range(len(part)))
     assert group_rank(df.limit(0), ["k"], [F.col("v")], "place").count() == 0
+
+
+def test_written_tables_can_be_forgotten(spark):
+    import os
+
+    from mnemolake.runtime import forget_written, shared_path, written
+
+    assert written(spark.range(3), "three").count() == 3
+    folder = os.path.dirname(shared_path(spark, "x").removeprefix("file://"))
+    assert os.listdir(folder)
+    forget_written(spark)
+    assert not os.path.exists(folder) and written(spark.range(2), "two").count() == 2
