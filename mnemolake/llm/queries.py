@@ -87,7 +87,12 @@ QUERIES = {
     "p10_found": p10_found,
     "p10_composition": p10_composition,
 }
-SQL: dict[str, str] = {}
+_GRAMS = "unnest(list_transform(range(1, len(w) - 11), lambda i: array_to_string(w[i::int:i::int + 12], ' ')))"
+_WORDS = r"regexp_extract_all(lower({0}), '[\p{{L}}\p{{N}}]+')"
+SQL: dict[str, str] = {
+    "p9_found": f"""with it as (select distinct item_id, unnest([passage, question]) as t from eval_items where item_id is not null), iw as (select item_id, {_WORDS.format('t')} as w from it where t is not null), dw as (select doc_id, {_WORDS.format('text')} as w from documents where doc_id is not null and text is not null),
+ ig as (select distinct item_id, {_GRAMS} as g from iw where len(w) >= 13), dg as (select doc_id, {_GRAMS} as g from dw where len(w) >= 13) select distinct doc_id, item_id from dg join ig using (g)""",
+}
 
 
 def all_queries() -> dict:
