@@ -51,12 +51,12 @@ def name_lexicon(items: DataFrame) -> list[str]:
     return sorted(r["w"] for r in names.collect())
 
 
-def templated(words: Column, names: list[str]) -> Column:
-    def slot(w: Column) -> Column:
-        out = F.when(w.rlike(r"^\p{N}+$"), F.lit("<n>")).when(w.isin(UNITS), F.lit("<u>"))
-        return (out.when(w.isin(names), F.lit("<x>")) if names else out).otherwise(w)
-
-    return F.transform(words, slot)
+def slot(w: Column, names: list[str]) -> Column:
+    """Placeholder of a lower-case word: 1 for a number, 2 for a unit, 3 for a name, null for any other."""
+    # words that begin with a Latin small letter are no numbers, which spares most of them the pattern
+    number = F.when(w.between("a", "{"), F.lit(False)).otherwise(w.rlike(r"^\p{N}+$"))
+    out = F.when(number, 1).when(w.isin(UNITS), 2)
+    return out.when(w.isin(names), 3) if names else out
 
 
 def windows(texts: DataFrame, ids: list[str], names: list[str], width: int, with_words: bool = False) -> DataFrame:
@@ -65,7 +65,7 @@ def windows(texts: DataFrame, ids: list[str], names: list[str], width: int, with
     Words are hashed once each, windows over the hashes. ``with_words`` adds the words of the window.
     """
     t = texts.where(F.size("_w") >= width)
-    t = t.withColumns({"_v": F.transform("_w", lambda w: F.xxhash64(w)), "_t": F.transform(templated(F.col("_w"), names), lambda w: F.xxhash64(w))})
+    t = t.withColumns({"_v": F.transform("_w", lambda w: F.xxhash64(w)), "_t": F.transform("_w", lambda w: F.coalesce(slot(w, names).cast("bigint"), F.xxhash64(w)))})
     cut = lambda c, i: F.slice(F.col(c), i + 1, F.lit(width))
     parts = lambda i: [i.alias("at"), F.xxhash64(cut("_t", i)).alias("h"), F.xxhash64(cut("_v", i)).alias("v"), *([cut("_w", i).alias("words")] if with_words else [])]
     return t.select(*ids, F.inline(F.transform(F.sequence(F.lit(0), F.size("_w") - F.lit(width)), lambda i: F.struct(*parts(i)))))
