@@ -29,6 +29,9 @@ from pyspark.sql import functions as F
 #: item windows that may be broadcast (about 60 bytes each); more are joined by shuffle
 BROADCAST_WINDOWS = 2_000_000
 
+#: starts of item windows that may stand in the plan as a set; with more of them every window is hashed
+STARTS = 50_000
+
 # Words of measure that a re-parameterised question may swap.
 UNITS = [
     "seconds", "second", "minutes", "minute", "hours", "hour", "days", "day", "weeks", "week", "months", "month",
@@ -59,16 +62,21 @@ def slot(w: Column, names: list[str]) -> Column:
     return out.when(w.isin(names), 3) if names else out
 
 
-def windows(texts: DataFrame, ids: list[str], names: list[str], width: int, with_words: bool = False) -> DataFrame:
-    """(ids..., ``at``, ``h``, ``v``): hashes of the template and of the words of each window, with its 0-based place.
+def windows(texts: DataFrame, ids: list[str], names: list[str], width: int, with_words: bool = False, starts: list[int] | None = None) -> DataFrame:
+    """(ids..., ``at``, ``start``, ``h``, ``v``): hashes of the first two placeholders, of the template and of the words of each window, with its 0-based place.
 
     Words are hashed once each, windows over the hashes. ``with_words`` adds the words of the window.
+    With ``starts`` only windows that begin in one of these ways are made: no other can be equal.
     """
     t = texts.where(F.size("_w") >= width)
     t = t.withColumns({"_v": F.transform("_w", lambda w: F.xxhash64(w)), "_t": F.transform("_w", lambda w: F.coalesce(slot(w, names).cast("bigint"), F.xxhash64(w)))})
     cut = lambda c, i: F.slice(F.col(c), i + 1, F.lit(width))
-    parts = lambda i: [i.alias("at"), F.xxhash64(cut("_t", i)).alias("h"), F.xxhash64(cut("_v", i)).alias("v"), *([cut("_w", i).alias("words")] if with_words else [])]
-    return t.select(*ids, F.inline(F.transform(F.sequence(F.lit(0), F.size("_w") - F.lit(width)), lambda i: F.struct(*parts(i)))))
+    start = lambda i: F.xxhash64(F.get("_t", i), F.get("_t", i + 1))
+    parts = lambda i: [i.alias("at"), start(i).alias("start"), F.xxhash64(cut("_t", i)).alias("h"), F.xxhash64(cut("_v", i)).alias("v"), *([cut("_w", i).alias("words")] if with_words else [])]
+    places = F.sequence(F.lit(0), F.size("_w") - F.lit(width))
+    if starts is not None:
+        places = F.filter(places, lambda i: start(i).isin(starts))
+    return t.select(*ids, F.inline(F.transform(places, lambda i: F.struct(*parts(i)))))
 
 
 def aligned_windows(documents: DataFrame, items: DataFrame, width: int, with_words: bool = False) -> DataFrame:
@@ -78,9 +86,12 @@ def aligned_windows(documents: DataFrame, items: DataFrame, width: int, with_wor
     doc_words = documents.where("doc_id is not null and text is not null").select("doc_id", word_array(F.col("text")).alias("_w"))
     names = name_lexicon(items)
     wanted = windows(item_words, ["item_id", "part"], names, width, with_words)
+    ways = wanted.select("start").distinct().limit(STARTS + 1).collect()  # of the evaluation set alone
+    starts = [r["start"] for r in ways] if width >= 2 and 0 < len(ways) <= STARTS else None
     wanted = wanted.select("item_id", "part", "h", F.col("at").alias("item_at"), F.col("v").alias("item_v"), *([F.col("words").alias("item_words")] if with_words else []))
     bounded = wanted.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS
-    return windows(doc_words, ["doc_id"], names, width, with_words).join(F.broadcast(wanted) if bounded else wanted, "h").drop("h")
+    found = windows(doc_words, ["doc_id"], names, width, with_words, starts).drop("start")
+    return found.join(F.broadcast(wanted) if bounded else wanted, "h").drop("h")
 
 
 def verbatim_leaks(documents: DataFrame, items: DataFrame, width: int = 13) -> DataFrame:
