@@ -238,3 +238,17 @@ def test_extractor_answers(spark):
 
 def test_trim_of_white_space():
     assert re.fullmatch(r"\s+", "".join(map(chr, [c for c in T.BLANKS if c != 65279])))
+
+
+def test_markdown_import(spark):
+    from mnemolake.operators import reading
+
+    text = "intro line\n\n# Memory\n## User Preferences\r\n- tea\n- milk\n\nsecond block\n### Facts\nblue\n## Other\nlast\n# Long-term memory\n# Top\n\nend"
+    docs = spark.createDataFrame([(1, text, "x"), (2, None, "x"), (3, "", "x"), (4, "# only\n", "x")], "doc_id int, text string, title string")
+    got = [(r["title"], r["type"], r["canonical_key"], r["content"]) for r in reading.markdown_items(docs, "doc_id", "text").orderBy("doc_id", "block").collect()]
+    assert got == [
+        ("Memory", "note", "note:memory", "intro line"), ("User Preferences", "fact", "fact:user-preferences", "- tea\n- milk"), ("User Preferences", "fact", "fact:user-preferences", "second block"),
+        ("User Preferences > Facts", "fact", "fact:user-preferences:facts", "blue"), ("Other", "note", "note:other", "last"), ("Top", "note", "note:top", "end"),
+    ]
+    key = docs.limit(1).select(reading.import_key(F.lit("k"), F.lit(" a\r\nb ")).alias("k")).first()["k"]
+    assert key == "memory.md:k:" + __import__("hashlib").sha256(b"a\nb").hexdigest()
