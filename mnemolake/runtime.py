@@ -33,7 +33,7 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get(SHARED_DIR_CONF, None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+    if not spark.sparkContext.master.startswith("local"):  # all executors of a local-cluster share this machine
         raise ValueError(f"set {SHARED_DIR_CONF} to a folder that all executors share")
     own = getattr(spark, "_mnemolake_shared_dir", None)
     if own is None:
