@@ -38,13 +38,15 @@ def _ranked(hits: DataFrame, order: list[Column], k: int) -> DataFrame:
 
 
 def shown(hits: DataFrame, corpus: Corpus) -> DataFrame:
-    """Memory and daily hits with title and snippet of their rows."""
+    """Memory and daily hits with title and snippet of their rows; of the tables only the rows of hits are looked at."""
+    hits = written(hits, "hits")
+    ids = search.small(hits.select("id").distinct(), hits.count())
     parts = []
     if corpus.items is not None:
-        i = search.live_items(corpus.items.select("id", "version", "updated_at", "title", "content", "canonical_key"))
+        i = search.live_items(corpus.items.select("id", "version", "updated_at", "title", "content", "canonical_key").join(ids, "id", "left_semi"))
         parts.append(i.select("id", F.lit("memory").alias("corpus"), "title", T.snippet(F.col("content")).alias("snippet"), F.lit(None).cast("string").alias("source_kind"), "canonical_key"))
     if corpus.entries is not None:
-        e = search.live_entries(corpus.entries.select("id", "updated_at", "path", "content", "source_kind"))
+        e = search.live_entries(corpus.entries.select("id", "updated_at", "path", "content", "source_kind").join(ids, "id", "left_semi"))
         parts.append(e.select("id", F.lit("daily").alias("corpus"), F.col("path").alias("title"), T.snippet(F.col("content")).alias("snippet"), "source_kind", F.lit(None).cast("string").alias("canonical_key")))
     rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     none = F.lit(None).cast("int")
@@ -129,6 +131,7 @@ def routed(corpus_name: str, corpus: Corpus, requests: DataFrame, vectors: DataF
     ``min_score`` is applied after fusion, then requests for an exact value are ordered anew. Another
     name gives no hits.
     """
+    requests = written(requests, "requests")
     found = F.lit(None).cast("string")
     if corpus_name == "memory":
         hits = memory(corpus, requests, vectors, k)
@@ -191,6 +194,7 @@ def visible_output(hits: DataFrame) -> DataFrame:
 
 def manager(corpus: Corpus, requests: DataFrame, sources: tuple[str, ...] = ("memory",), k: int = 10, min_score: float | None = None, agent: str | None = None) -> DataFrame:
     """Search over named sources, lexical only: mapped hits by score, memory before sessions, path."""
+    requests = written(requests, "requests")
     parts = []
     if "memory" in sources:
         parts.append(memory(corpus, requests, None, k))
@@ -214,18 +218,17 @@ def known_candidates(candidates: DataFrame, items: DataFrame) -> DataFrame:
     contains it or is contained in it. A candidate without words is known.
     """
     scope = ["user_id", "workspace_id"]
-    active = search.live_items(items.select(*search.ITEM_COLUMNS)).where("status = 'active'")
     same = T.comparable(F.col("content"))
-    c = candidates.select("cid", *scope, "type", "canonical_key", "content", same.alias("_same"))
+    active = search.item_docs(items).withColumn("_same", same)
+    c = written(candidates.select("cid", *scope, "type", "canonical_key", "content", same.alias("_same")), "said-candidates")
     by_key = c.join(active.select(*scope, "type", "canonical_key").distinct(), [*scope, "type", "canonical_key"], "left_semi").select("cid")
-    by_text = c.join(active.select(*scope, same.alias("_same")).distinct(), [*scope, "_same"], "left_semi").select("cid")
+    by_text = c.join(active.select(*scope, "_same").distinct(), [*scope, "_same"], "left_semi").select("cid")
     blank = c.where(F.coalesce("_same", F.lit("")) == "").select("cid")
-    docs = active.select(*scope, "id", "content", T.lexemes(T.search_text(F.col("title"), F.col("content"), F.col("canonical_key"))).alias("_doc"))
     asked = c.select(F.col("cid").alias("request"), *scope, F.col("content").alias("query"))
-    met = search.candidates(docs, asked)
+    met = search.candidates(active.select("_d", *scope, "id", "content", "_doc"), asked)
     hits = F.aggregate(F.transform("_q", lambda q: F.size(F.filter("_doc", lambda w: w == q))), F.lit(0), lambda a, x: a + x)
-    best = Window.partitionBy("request").orderBy((hits / F.size("_doc")).desc(), F.col("id"))
-    top = met.withColumn("_n", F.row_number().over(best)).where("_n <= 3")
-    a, b = T.comparable(F.col("content")), T.comparable(F.col("query"))
-    held = top.where((a != "") & ((F.instr(a, b) > 0) | (F.instr(b, a) > 0))).select(F.col("request").alias("cid"))
+    a, b = same, T.comparable(F.col("query"))
+    rated = met.select("request", "id", (hits / F.size("_doc")).alias("_share"), ((a != "") & ((F.instr(a, b) > 0) | (F.instr(b, a) > 0))).alias("_held"))
+    best = Window.partitionBy("request").orderBy(F.col("_share").desc(), F.col("id"))
+    held = rated.withColumn("_n", F.row_number().over(best)).where("_n <= 3").where("_held").select(F.col("request").alias("cid"))
     return by_key.unionByName(by_text).unionByName(blank).unionByName(held).distinct()

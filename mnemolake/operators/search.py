@@ -1,7 +1,7 @@
 """Retrieval: strict, relaxed and fuzzy tiers, vectors, fusion, for many requests at once.
 
 A request is a row (``request``, ``user_id``, ``workspace_id``, ``query``). A text request meets the
-postings (scope, lexeme) of its longest lexeme, so of a hot scope only the rows with that lexeme
+postings (scope, lexeme) of its rarest lexeme, so of a hot scope only the rows with that lexeme
 are looked at, and the join key of a hot scope is as many keys as it has lexemes; the candidates are
 then tested whole, ranked inside the request and cut there. So one plan answers one request or a
 million. Requests come from callers, their number is bounded by the caller; where it is small the
@@ -38,16 +38,52 @@ def live_entries(entries: DataFrame) -> DataFrame:
 SCOPE = ["user_id", "workspace_id"]
 
 
+BROADCAST_ROWS = 100_000
+
+
+def indexed(docs: DataFrame) -> DataFrame:
+    """``docs`` written once with a short key ``_d`` of each row, for several passes of ``candidates``."""
+    return written(docs.withColumn("_d", F.monotonically_increasing_id()), "search-docs")
+
+
+def small(df: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
+def _word_key(word: str) -> Column:
+    return F.xxhash64(*SCOPE, word).alias("_k")
+
+
+def _bits(words: Column) -> Column:
+    """One bit of 64 for each word: all bits of a request are among those of every text that holds its words."""
+    one = lambda w: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.xxhash64(w), F.lit(64)).cast("int"))
+    return F.aggregate(words, F.lit(0).cast("bigint"), lambda a, w: a.bitwiseOR(one(w)))
+
+
 def candidates(docs: DataFrame, requests: DataFrame) -> DataFrame:
-    """``docs`` (scope, unique ``id``, ``_doc`` lexemes) with every request of their scope whose lexemes all are among ``_doc``.
+    """``docs`` (``indexed``; scope, unique ``id``, ``_doc`` lexemes) with every request of their scope whose lexemes all are among ``_doc``.
 
-    Candidates come from the postings of the request's longest lexeme.
+    Candidates come from the postings of the lexeme of the request that the fewest texts of its scope
+    have. Pairs are two numbers until the bits of both sides agree; then they are tested whole.
     """
     asked = requests.select("request", *SCOPE, "query", F.array_distinct(T.lexemes(F.col("query"))).alias("_q")).where(F.size("_q") > 0)
-    asked = asked.withColumn("_w", F.array_max(F.transform("_q", lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"])
-    postings = docs.select(*SCOPE, "id", F.explode(F.array_distinct("_doc")).alias("_w"))
-    pairs = postings.join(asked, [*SCOPE, "_w"]).select("id", "request", "query", "_q")
-    return docs.join(pairs, "id").where(T.matches_all(F.col("_doc"), F.col("_q")))
+    asked = written(asked.withColumn("_r", F.monotonically_increasing_id()), "search-asked")
+    words = asked.select("_r", *SCOPE, _bits(F.col("_q")).alias("_qb"), F.explode("_q").alias("_w")).select("_r", "_qb", _word_key("_w"))
+    postings = docs.select("_d", *SCOPE, _bits(F.col("_doc")).alias("_db"), F.explode(F.array_distinct("_doc")).alias("_w")).select("_d", "_db", _word_key("_w"))
+    many = asked.agg(F.sum(F.size("_q"))).first()[0] or 0
+    held = postings.select("_k")
+    if many <= BROADCAST_ROWS:
+        held = held.join(F.broadcast(words.select("_k").distinct()), "_k", "left_semi")
+    counts = held.groupBy("_k").agg(F.count("*").alias("_n"))
+    least = F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("_k").alias("k"), "_qb"))
+    picked = words.join(counts, "_k", "left").groupBy("_r").agg(least.alias("_l")).where(F.col("_l.n") > 0)
+    picked = written(picked.select("_r", F.col("_l.k").alias("_k"), F.col("_l._qb").alias("_qb"), F.col("_l.n").alias("_n")), "search-picked")
+    rows, pairs_at_most = picked.agg(F.count("*"), F.coalesce(F.sum("_n"), F.lit(0))).first()
+    pairs = postings.join(small(picked.drop("_n"), rows), "_k").where(F.col("_db").bitwiseAND(F.col("_qb")) == F.col("_qb")).select("_d", "_r")
+    met = docs.join(small(pairs, pairs_at_most), "_d")
+    mine = asked.select("_r", "request", F.col("user_id").alias("_user"), F.col("workspace_id").alias("_workspace"), "query", "_q")
+    same_scope = (F.col("user_id") == F.col("_user")) & (F.col("workspace_id") == F.col("_workspace"))
+    return met.join(mine, "_r").where(same_scope & T.matches_all(F.col("_doc"), F.col("_q"))).drop("_d", "_r", "_user", "_workspace")
 
 
 def cover_density(doc: Column, query: Column, weight: float = 0.1) -> Column:
@@ -91,9 +127,17 @@ def daily_order() -> list[Column]:
 ITEM_COLUMNS = ["user_id", "workspace_id", "id", "version", "status", "type", "title", "content", "canonical_key", "importance", "updated_at"]
 
 
-def strict_items(items: DataFrame, requests: DataFrame, k: int = 10) -> DataFrame:
+def item_docs(items: DataFrame) -> DataFrame:
+    """Active items as ``candidates`` and the fuzzy tier read them, written once."""
     live = live_items(items.select(*ITEM_COLUMNS)).where("status = 'active'")
-    doc = live.withColumns({"_doc": T.lexemes(T.search_text(F.col("title"), F.col("content"), F.col("canonical_key"))), "path": item_path()})
+    return indexed(live.withColumns({"_doc": T.lexemes(T.search_text(F.col("title"), F.col("content"), F.col("canonical_key"))), "path": item_path()}))
+
+
+def strict_items(items: DataFrame, requests: DataFrame, k: int = 10) -> DataFrame:
+    return _strict_items(item_docs(items), requests, k)
+
+
+def _strict_items(doc: DataFrame, requests: DataFrame, k: int) -> DataFrame:
     low = F.lower("query")
     boost = (
         F.when(F.lower(F.coalesce("title", F.lit(""))) == low, 3.0).when(F.lower("content") == low, 2.5).when(F.lower(F.coalesce("canonical_key", F.lit(""))) == low, 2.25).otherwise(0.0)
@@ -106,10 +150,18 @@ def item_path() -> Column:
     return F.concat(F.lit("db-memory/items/"), F.col("id"), F.lit(".md"))
 
 
+def daily_docs(entries: DataFrame) -> DataFrame:
+    """Entries as ``candidates`` reads them, written once; internal source kinds stay hidden."""
+    live = live_entries(entries.select("user_id", "workspace_id", "id", "path", "content", "source_kind", "logical_date", "updated_at")).where("source_kind <> 'session_memory'")
+    return indexed(live.withColumn("_doc", T.lexemes(F.col("content"))))
+
+
 def strict_daily(entries: DataFrame, requests: DataFrame, k: int = 10) -> DataFrame:
     """Internal source kinds stay hidden."""
-    live = live_entries(entries.select("user_id", "workspace_id", "id", "path", "content", "source_kind", "logical_date", "updated_at")).where("source_kind <> 'session_memory'")
-    doc = live.withColumn("_doc", T.lexemes(F.col("content")))
+    return _strict_daily(daily_docs(entries), requests, k)
+
+
+def _strict_daily(doc: DataFrame, requests: DataFrame, k: int) -> DataFrame:
     boost = F.when(F.lower("content") == F.lower("query"), 2.5).otherwise(0.0)
     scored = candidates(doc, requests).withColumn("score", F.round(cover_density(F.col("_doc"), F.col("_q")) + boost, 6))
     return _ranked(scored, daily_order(), k)
@@ -142,11 +194,11 @@ def hit_order() -> list[Column]:
 
 
 def _relaxed_hits(items: DataFrame | None, entries: DataFrame, requests: DataFrame, k: int) -> DataFrame:
-    """Hits of all relaxed forms, the best of each row: its highest score, of equal ones the first form's."""
-    forms = relaxed(requests)
-    hits = _daily_as_hits(strict_daily(entries, forms, k))
+    """Hits of all relaxed forms among ``item_docs`` and ``daily_docs``, the best of each row: its highest score, of equal ones the first form's."""
+    forms = written(relaxed(requests), "search-forms")
+    hits = _daily_as_hits(_strict_daily(entries, forms, k))
     if items is not None:
-        hits = _items_as_hits(strict_items(items, forms, k)).unionByName(hits)
+        hits = _items_as_hits(_strict_items(items, forms, k)).unionByName(hits)
     joined = hits.join(forms.select("request", "base", "form"), "request")
     best = Window.partitionBy("base", "corpus", "id").orderBy(F.col("score").desc(), F.col("form"))
     kept = joined.withColumn("_b", F.row_number().over(best)).where("_b = 1").drop("request").withColumnRenamed("base", "request")
@@ -155,7 +207,10 @@ def _relaxed_hits(items: DataFrame | None, entries: DataFrame, requests: DataFra
 
 def fuzzy_items(items: DataFrame, requests: DataFrame, k: int = 10) -> DataFrame:
     """Trigram tier: set similarity, best-extent similarity, and substring boosts (``%`` and ``_`` stay live)."""
-    live = live_items(items.select(*ITEM_COLUMNS)).where("status = 'active'").withColumn("path", item_path())
+    return _fuzzy_items(live_items(items.select(*ITEM_COLUMNS)).where("status = 'active'").withColumn("path", item_path()), requests, k)
+
+
+def _fuzzy_items(live: DataFrame, requests: DataFrame, k: int) -> DataFrame:
     st = F.lower(T.search_text(F.col("title"), F.col("content"), F.col("canonical_key")))
     doc = live.select("user_id", "workspace_id", "id", "path", "importance", "updated_at", st.alias("_st"), F.lower(F.coalesce("canonical_key", F.lit(""))).alias("_key"), T.trigrams(st).alias("_tg"))
     asked = requests.select("request", "user_id", "workspace_id", F.lower("query").alias("_low"), T.trigrams(F.col("query")).alias("_qg"))
@@ -203,18 +258,21 @@ def cascade(items: DataFrame, entries: DataFrame, requests: DataFrame, k: int =
 
     Each tier is written before the next is planned, so it is computed once and the next sees only what is left.
     """
-    strict = _items_as_hits(strict_items(items, requests, k)).unionByName(_daily_as_hits(strict_daily(entries, requests, k)))
+    requests = written(requests, "search-requests")
+    items, entries = item_docs(items), daily_docs(entries)
+    strict = _items_as_hits(_strict_items(items, requests, k)).unionByName(_daily_as_hits(_strict_daily(entries, requests, k)))
     tiers = [written(strict.withColumn("tier", F.lit(1)), "tier-1")]
-    left = requests.join(tiers[0].select("request").distinct(), "request", "left_anti")
+    left = written(requests.join(tiers[0].select("request").distinct(), "request", "left_anti"), "search-left")
     tiers.append(written(_relaxed_hits(items, entries, left, k).withColumn("tier", F.lit(2)), "tier-2"))
     left = left.join(tiers[1].select("request").distinct(), "request", "left_anti")
-    tiers.append(_items_as_hits(fuzzy_items(items, left, k)).withColumn("tier", F.lit(3)))
+    tiers.append(_items_as_hits(_fuzzy_items(items, left, k)).withColumn("tier", F.lit(3)))
     return _ranked(tiers[0].unionByName(tiers[1]).unionByName(tiers[2]), hit_order(), k)
 
 
 def daily_cascade(entries: DataFrame, requests: DataFrame, k: int = 10) -> DataFrame:
     """Strict, then relaxed, over daily entries alone."""
-    strict = written(_daily_as_hits(strict_daily(entries, requests, k)).withColumn("tier", F.lit(1)), "tier-1")
+    requests, entries = written(requests, "search-requests"), daily_docs(entries)
+    strict = written(_daily_as_hits(_strict_daily(entries, requests, k)).withColumn("tier", F.lit(1)), "tier-1")
     left = requests.join(strict.select("request").distinct(), "request", "left_anti")
     return _ranked(strict.unionByName(_relaxed_hits(None, entries, left, k).withColumn("tier", F.lit(2))), hit_order(), k)
 
@@ -278,7 +336,7 @@ def session_hits(chunks: DataFrame, requests: DataFrame, k: int = 10, agent: str
     rows = chunks.select("user_id", "workspace_id", "id", "path", "chunk_index", "start_line", "end_line", "text", "created_at").withColumn("_n", F.row_number().over(newest)).where("_n = 1").drop("_n")
     if agent is not None:
         rows = rows.where(F.col("path").startswith(f"sessions/{agent}/"))
-    doc = rows.join(session_files(rows), ["user_id", "workspace_id", "path"])
+    doc = indexed(rows.join(session_files(rows), ["user_id", "workspace_id", "path"]))
     doc = doc.withColumns({"_p": T.lexemes(F.col("path")), "_t": T.lexemes(F.col("text"))}).withColumn("_doc", F.array_union("_p", "_t"))
     found = candidates(doc, requests)
     in_text = F.when(T.matches_all(F.col("_t"), F.col("_q")), cover_density(F.col("_t"), F.col("_q"), 0.4)).otherwise(0.0)
