@@ -6,8 +6,12 @@ by the key's own log (a target, a scope), never by the table.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 
 def newest_consumer(updates: DataFrame, consumers: DataFrame) -> DataFrame:
@@ -58,11 +62,28 @@ def maintenance_runs(triggers: DataFrame, key: str, run_ms: int) -> DataFrame:
 def cache_outcomes(events: DataFrame, key: str, ttl_ms: int = 60_000) -> DataFrame:
     """Reads (``kind`` read) of a cache with their outcome (``hit`` or ``load``); ``kind`` drop makes the next read load again.
 
-    A value is good for ``ttl_ms`` after its load; a drop at the same instant comes first.
+    A value is good for ``ttl_ms`` after its load; a drop at the same instant comes first. One pass over
+    the sorted events, which keeps no more of a key than its last load, so its log may be of any length.
     """
-    rows = _events(events, key)
-    fold = f"""aggregate(_e, struct(cast(null as bigint) as loaded, cast(array() as array<struct<at_ms:bigint,outcome:string>>) as out),
-      (s, e) -> if(e.kind = 'drop', struct(cast(null as bigint) as loaded, s.out as out),
-        if(s.loaded is not null and e.at_ms < s.loaded + {ttl_ms}, struct(s.loaded as loaded, concat(s.out, array(struct(e.at_ms as at_ms, 'hit' as outcome))) as out),
-          struct(e.at_ms as loaded, concat(s.out, array(struct(e.at_ms as at_ms, 'load' as outcome))) as out))), s -> s.out)"""
-    return rows.select(key, F.inline(F.expr(fold)))
+    rows = events.select(key, F.col("at_ms").cast("bigint").alias("at_ms"), "kind")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, loaded = object(), None
+        for batch in batches:
+            taken, outcomes = [], []
+            for i, (k, at, kind) in enumerate(zip(*(c.to_pylist() for c in batch.columns))):
+                if k != last:
+                    last, loaded = k, None
+                if kind == "drop":
+                    loaded = None
+                    continue
+                hit = loaded is not None and at is not None and at < loaded + ttl_ms
+                if not hit:
+                    loaded = at
+                taken.append(i)
+                outcomes.append("hit" if hit else "load")
+            kept = batch.take(pa.array(taken, pa.int64()))
+            yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1), pa.array(outcomes, pa.string())], names=[key, "at_ms", "outcome"])
+
+    shape = StructType([StructField(key, rows.schema[key].dataType), StructField("at_ms", LongType()), StructField("outcome", StringType())])
+    return rows.repartition(key).sortWithinPartitions(key, "at_ms", "kind").mapInArrow(run, shape)
