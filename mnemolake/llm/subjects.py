@@ -1,11 +1,11 @@
 """Subject areas of documents (problem 10): label propagation by iterative DataFrame joins.
 
 The similarity graph joins documents through their sentences by banded signatures. A band is a pair
-of distinctive words of one sentence (``NEAR`` words apart at most in the order of the alphabet; all
-pairs of an ordinary sentence); words that stand in more documents than a subject has (``COMMON`` of
+of distinctive words of one sentence, and every pair is one if it is verified; words that stand in more documents than a subject has (``COMMON`` of
 an even share) are no part of any band. All sentences with one band are similar by it, if the
 similarity is verified for each of them: the two words make up at least ``VERIFIED`` of the weight
-(inverse document frequency) of the sentence's distinctive words. So two documents are linked where
+(inverse document frequency) of the sentence's distinctive words. One word of such a pair makes up half of that, which few words of a sentence can, so
+only pairs with one of those are looked at. So two documents are linked where
 they share two rare words in one sentence of each, and those are a good part of both sentences. A
 band is a node between its sentences, which keeps the graph linear in the text however many
 documents share it; pairs of documents are never listed.
@@ -36,7 +36,6 @@ from mnemolake.functions.timestamps import once
 from mnemolake.runtime import written
 
 COMMON = 1.2
-NEAR = 8
 VERIFIED = 0.3
 SMOOTH = 0.5
 BROADCAST_ROWS = 1_000_000
@@ -73,11 +72,14 @@ def banded(docs: DataFrame, documents: int, subjects: int) -> DataFrame:
     kept = kept.groupBy("doc_id", "sent").agg(F.array_sort(F.collect_list(F.struct("w", "i"))).alias("ws"), F.sum("i").alias("all"))
     alone = F.size("ws") == 1  # a sentence with one distinctive word has it as its band
 
-    def bands(a: Column, i: Column) -> Column:
-        after = F.slice("ws", i + F.when(alone, 1).otherwise(2), F.lit(NEAR))
-        return F.transform(after, lambda b: F.struct(F.xxhash64(a["w"], b["w"]).alias("b"), ((a["i"] + F.when(alone, 0.0).otherwise(b["i"])) / F.col("all")).alias("v")))
+    def bands(a: Column) -> Column:
+        pair = F.filter("ws", lambda b: (b["w"] != a["w"]) & ((b["w"] > a["w"]) | (b["i"] < half)) & ((a["i"] + b["i"]) / F.col("all") >= VERIFIED))
+        return F.transform(pair, lambda b: F.struct(F.xxhash64(F.least(a["w"], b["w"]), F.greatest(a["w"], b["w"])).alias("b"), ((a["i"] + b["i"]) / F.col("all")).alias("v")))
 
-    verified = F.filter(F.flatten(F.transform("ws", bands)), lambda p: p["v"] >= VERIFIED)
+    half = VERIFIED / 2 * F.col("all") * (1 - 1e-9)  # of a verified pair one word has as much; of two such words the first lists the pair
+    paired = F.flatten(F.transform(F.filter("ws", lambda a: a["i"] >= half), bands))
+    single = F.array(F.struct(F.xxhash64(F.get("ws", F.lit(0))["w"], F.get("ws", F.lit(0))["w"]).alias("b"), F.lit(1.0).alias("v")))
+    verified = F.when(alone, single).otherwise(paired)
     return once(kept.select("doc_id", "sent", verified.alias("bands")), "bands").where(F.size("bands") > 0)
 
 
