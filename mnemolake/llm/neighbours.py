@@ -7,8 +7,8 @@ Shape of the search
 2. Centroids are fitted per profile, on the executors, on a bounded, documented sample (about
    ``fit_sample`` vectors of the profile, all where it has fewer, chosen by hash) and balanced: a
    centroid with too much of the sample is split, so lists hold about ``list_size``.
-3. Centroids are the nodes of an in-memory neighbour graph. Each vector walks it by beam search and
-   joins the lists of its nearest centroids: the nearest one, and others as long as their distance
+3. Centroids are the nodes of an in-memory neighbour graph, all of them doors into it, so each vector
+   is compared with all centroids of its profile and joins the lists of its nearest centroids: the nearest one, and others as long as their distance
    is within ``ratio`` of the nearest (vectors near a boundary are so replicated, at most
    ``replicas`` times). A vector is member and query of the same lists.
 4. Each list is searched exhaustively. A list that the sample says is too long is cut into blocks,
@@ -132,9 +132,10 @@ class CentroidGraph:
     def search(self, x: np.ndarray, beam: int, steps: int = 4) -> tuple[np.ndarray, np.ndarray]:
         """Ids and similarities of the ``beam`` best centroids found for each row, best first."""
         beam = min(beam, len(self.c))
-        at_doors = x @ self.c[self.doors].T
-        width = min(beam, len(self.doors))
-        ids = self.doors[np.argpartition(-at_doors, width - 1, axis=1)[:, :width]]
+        doors, width = self.c[self.doors], min(beam, len(self.doors))
+        part = max(16, (1 << 22) // len(doors))  # 16 MB of similarities at a time
+        ids = np.vstack([self.doors[np.argpartition(-(x[i : i + part] @ doors.T), width - 1, axis=1)[:, :width]] for i in range(0, len(x), part)])
+        steps = steps if len(doors) < len(self.c) else 1  # all centroids were compared: only put in order
         for step in range(steps):
             wide = np.concatenate([ids, self.links[ids[:, : max(2, beam // 2)]].reshape(len(x), -1)], axis=1)
             wide.sort(axis=1)
@@ -160,8 +161,7 @@ def _fitter(list_size: int, max_lists: int):
         x = _unit(np.stack(sample.sort_values("g")["q"].to_numpy()))
         c = fit_centroids(x, min(max_lists, int(np.ceil(n / list_size))))
         links, k = CentroidGraph.linked(c), len(c)
-        door = np.zeros(k, bool)
-        door[np.random.default_rng(3).choice(k, min(k, 8 + 2 * int(np.sqrt(k))), replace=False)] = True
+        door = np.ones(k, bool)  # links alone don't lead from one cluster to another: with few doors a third of the vectors miss their nearest of 30,000 lists
         share = np.bincount(_nearest(x, c), minlength=k) * (n / len(x))
         blocks = np.where(share > 16 * list_size, np.ceil(share / (16 * list_size)), 1).astype(np.int32)
         return pd.DataFrame({"profile_key": sample["profile_key"].iloc[0], "list": np.arange(k, dtype=np.int32), "c": [r.tobytes() for r in c], "links": [r.tobytes() for r in links], "door": door, "blocks": blocks})
