@@ -39,6 +39,7 @@ SCOPE = ["user_id", "workspace_id"]
 
 
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 8_000_000
 
 
 def indexed(docs: DataFrame) -> DataFrame:
@@ -47,7 +48,17 @@ def indexed(docs: DataFrame) -> DataFrame:
 
 
 def small(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+    """``df`` to be broadcast if it has few ``rows``, else to be joined by sorting.
+
+    The optimizer is never left to choose: it takes the compressed size of a written table for its
+    size in memory, and would have the driver hold what is many times its limit.
+    """
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df.hint("merge")
+
+
+def _row_bytes(*texts: str) -> Column:
+    """About what a row takes in memory."""
+    return F.lit(200) + sum((F.octet_length(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in texts), F.lit(0))
 
 
 def _word_key(word: str) -> Column:
@@ -70,19 +81,20 @@ def candidates(docs: DataFrame, requests: DataFrame) -> DataFrame:
     asked = written(asked.withColumn("_r", F.monotonically_increasing_id()), "search-asked")
     words = asked.select("_r", *SCOPE, _bits(F.col("_q")).alias("_qb"), F.explode("_q").alias("_w")).select("_r", "_qb", _word_key("_w"))
     postings = docs.select("_d", *SCOPE, _bits(F.col("_doc")).alias("_db"), F.explode(F.array_distinct("_doc")).alias("_w")).select("_d", "_db", _word_key("_w"))
-    many = asked.agg(F.sum(F.size("_q"))).first()[0] or 0
+    many, heavy = asked.agg(F.coalesce(F.sum(F.size("_q")), F.lit(0)), F.coalesce(F.sum(_row_bytes("request", *SCOPE, "query") + 24 * F.size("_q")), F.lit(0))).first()
     held = postings.select("_k")
     if many <= BROADCAST_ROWS:
         held = held.join(F.broadcast(words.select("_k").distinct()), "_k", "left_semi")
     counts = held.groupBy("_k").agg(F.count("*").alias("_n"))
     least = F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("_k").alias("k"), "_qb"))
-    picked = words.join(counts, "_k", "left").groupBy("_r").agg(least.alias("_l")).where(F.col("_l.n") > 0)
+    picked = words.join(small(counts, many), "_k", "left").groupBy("_r").agg(least.alias("_l")).where(F.col("_l.n") > 0)
     picked = written(picked.select("_r", F.col("_l.k").alias("_k"), F.col("_l._qb").alias("_qb"), F.col("_l.n").alias("_n")), "search-picked")
     rows, pairs_at_most = picked.agg(F.count("*"), F.coalesce(F.sum("_n"), F.lit(0))).first()
     pairs = postings.join(small(picked.drop("_n"), rows), "_k").where(F.col("_db").bitwiseAND(F.col("_qb")) == F.col("_qb")).select("_d", "_r")
     met = docs.join(small(pairs, pairs_at_most), "_d")
     mine = asked.select("_r", "request", F.col("user_id").alias("_user"), F.col("workspace_id").alias("_workspace"), "query", "_q")
     same_scope = (F.col("user_id") == F.col("_user")) & (F.col("workspace_id") == F.col("_workspace"))
+    mine = F.broadcast(mine) if heavy <= BROADCAST_BYTES else mine.hint("merge")
     return met.join(mine, "_r").where(same_scope & T.matches_all(F.col("_doc"), F.col("_q"))).drop("_d", "_r", "_user", "_workspace")
 
 
