@@ -56,6 +56,11 @@ def small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df.hint("merge")
 
 
+def light(df: DataFrame, size: int) -> DataFrame:
+    """As ``small``, for wide rows of ``size`` bytes altogether."""
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df.hint("merge")
+
+
 def _row_bytes(*texts: str) -> Column:
     """About what a row takes in memory."""
     return F.lit(200) + sum((F.octet_length(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in texts), F.lit(0))
@@ -94,8 +99,7 @@ def candidates(docs: DataFrame, requests: DataFrame) -> DataFrame:
     met = docs.join(small(pairs, pairs_at_most), "_d")
     mine = asked.select("_r", "request", F.col("user_id").alias("_user"), F.col("workspace_id").alias("_workspace"), "query", "_q")
     same_scope = (F.col("user_id") == F.col("_user")) & (F.col("workspace_id") == F.col("_workspace"))
-    mine = F.broadcast(mine) if heavy <= BROADCAST_BYTES else mine.hint("merge")
-    return met.join(mine, "_r").where(same_scope & T.matches_all(F.col("_doc"), F.col("_q"))).drop("_d", "_r", "_user", "_workspace")
+    return met.join(light(mine, heavy), "_r").where(same_scope & T.matches_all(F.col("_doc"), F.col("_q"))).drop("_d", "_r", "_user", "_workspace")
 
 
 def cover_density(doc: Column, query: Column, weight: float = 0.1) -> Column:
@@ -211,7 +215,7 @@ def _relaxed_hits(items: DataFrame | None, entries: DataFrame, requests: DataFra
     hits = _daily_as_hits(_strict_daily(entries, forms, k))
     if items is not None:
         hits = _items_as_hits(_strict_items(items, forms, k)).unionByName(hits)
-    joined = hits.join(forms.select("request", "base", "form"), "request")
+    joined = hits.join(small(forms.select("request", "base", "form"), forms.count()), "request")
     best = Window.partitionBy("base", "corpus", "id").orderBy(F.col("score").desc(), F.col("form"))
     kept = joined.withColumn("_b", F.row_number().over(best)).where("_b = 1").drop("request").withColumnRenamed("base", "request")
     return kept.select(*_SHOWN)

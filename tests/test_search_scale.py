@@ -3,8 +3,9 @@
 import random
 import re
 
+import pytest
 from mnemolake.functions import text as T
-from mnemolake.operators import search
+from mnemolake.operators import routing, search
 from pyspark.sql import functions as F
 
 
@@ -43,3 +44,30 @@ def test_what_has_many_rows_is_not_broadcast(spark, monkeypatch):
     found = search.candidates(search.indexed(d), r)
     assert [tuple(x) for x in found.select("request", "id").collect()] == [("r1", "d1")]
     assert "Broadcast" not in plans["search-picked"] and "Broadcast" not in _plan(found)
+
+
+ITEM = "user_id string, workspace_id string, id string, version int, status string, type string, title string, content string, canonical_key string, importance int, updated_at timestamp"
+ENTRY = "user_id string, workspace_id string, id string, path string, content string, source_kind string, logical_date string, updated_at timestamp"
+CHUNK = "user_id string, workspace_id string, id string, path string, chunk_index int, start_line int, end_line int, text string, created_at timestamp"
+
+
+@pytest.fixture
+def no_broadcast(spark, monkeypatch):
+    """Limits of nothing; tables of one scope and the requests for them."""
+    monkeypatch.setattr(search, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(search, "BROADCAST_BYTES", 0, raising=False)
+    i = spark.createDataFrame([("u", "w", f"i{n}", 1, "active", "note", f"title {n}", f"plain words {n}", None, 1, None) for n in range(3)], ITEM)
+    e = spark.createDataFrame([("u", "w", "e1", "p1", "plain entry", "note", "2026-01-01", None)], ENTRY)
+    c = spark.createDataFrame([("u", "w", "c1", "sessions/a/s.jsonl", 0, 1, 1, "plain text", None)], CHUNK)
+    r = spark.createDataFrame([("r1", "u", "w", "plain words nowhere")], "request string, user_id string, workspace_id string, query string")
+    return i, e, c, r
+
+
+def _broadcast_by(df, key):
+    return f"BroadcastHashJoin [{key}" in _plan(df)
+
+
+def test_relaxed_forms_are_not_broadcast(no_broadcast):
+    i, e, _, r = no_broadcast
+    hits = search._relaxed_hits(search.item_docs(i), search.daily_docs(e), r, 10)
+    assert {x["id"] for x in hits.collect()} == {"i0", "i1", "i2", "e1"} and not _broadcast_by(hits, "request#")
