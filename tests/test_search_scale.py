@@ -71,3 +71,11 @@ def test_relaxed_forms_are_not_broadcast(no_broadcast):
     i, e, _, r = no_broadcast
     hits = search._relaxed_hits(search.item_docs(i), search.daily_docs(e), r, 10)
     assert {x["id"] for x in hits.collect()} == {"i0", "i1", "i2", "e1"} and not _broadcast_by(hits, "request#")
+
+
+def test_lists_to_be_fused_are_not_broadcast(no_broadcast):
+    i, e, _, r = no_broadcast
+    r = r.withColumn("query", F.lit("plain"))
+    a = search._items_as_hits(search.strict_items(i, r)).unionByName(search._daily_as_hits(search.strict_daily(e, r)))
+    fused = search.fuse(search._ranked(a, search.hit_order(), 10), a.limit(0).withColumn("rank", F.lit(1)))
+    assert fused.count() == 4 and not _broadcast_by(fused, "_d#") and not _broadcast_by(fused, "_r#")
