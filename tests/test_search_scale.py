@@ -79,3 +79,10 @@ def test_lists_to_be_fused_are_not_broadcast(no_broadcast):
     a = search._items_as_hits(search.strict_items(i, r)).unionByName(search._daily_as_hits(search.strict_daily(e, r)))
     fused = search.fuse(search._ranked(a, search.hit_order(), 10), a.limit(0).withColumn("rank", F.lit(1)))
     assert fused.count() == 4 and not _broadcast_by(fused, "_d#") and not _broadcast_by(fused, "_r#")
+
+
+def test_said_candidates_are_not_broadcast(no_broadcast):
+    i, _, _, r = no_broadcast
+    c = r.select(F.col("request").alias("cid"), "user_id", "workspace_id", F.lit("note").alias("type"), F.lit(None).cast("string").alias("canonical_key"), F.lit("words").alias("content"))
+    known = routing.known_candidates(c, i)
+    assert [x["cid"] for x in known.collect()] == ["r1"] and not _broadcast_by(known, "_d#") and not _broadcast_by(known, "_r#")
