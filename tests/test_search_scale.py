@@ -86,3 +86,9 @@ def test_said_candidates_are_not_broadcast(no_broadcast):
     c = r.select(F.col("request").alias("cid"), "user_id", "workspace_id", F.lit("note").alias("type"), F.lit(None).cast("string").alias("canonical_key"), F.lit("words").alias("content"))
     known = routing.known_candidates(c, i)
     assert [x["cid"] for x in known.collect()] == ["r1"] and not _broadcast_by(known, "_d#") and not _broadcast_by(known, "_r#")
+
+
+def test_sources_of_the_manager_are_not_broadcast(no_broadcast):
+    _, _, c, r = no_broadcast
+    hits = routing.manager(routing.Corpus(chunks=c), r.withColumn("query", F.lit("plain")), ("sessions",))
+    assert [x["id"] for x in hits.collect()] == ["c1"] and not _broadcast_by(hits, "_d#") and not _broadcast_by(hits, "_r#")
