@@ -230,7 +230,9 @@ def _fuzzy_items(live: DataFrame, requests: DataFrame, k: int) -> DataFrame:
     st = F.lower(T.search_text(F.col("title"), F.col("content"), F.col("canonical_key")))
     doc = live.select("user_id", "workspace_id", "id", "path", "importance", "updated_at", st.alias("_st"), F.lower(F.coalesce("canonical_key", F.lit(""))).alias("_key"), T.trigrams(st).alias("_tg"))
     asked = requests.select("request", "user_id", "workspace_id", F.lower("query").alias("_low"), T.trigrams(F.col("query")).alias("_qg"))
-    pairs = doc.join(asked, ["user_id", "workspace_id"])
+    asked = written(asked, "fuzzy-asked")
+    heavy = asked.agg(F.coalesce(F.sum(_row_bytes("request", *SCOPE, "_low") + 24 * F.size("_qg")), F.lit(0))).first()[0]
+    pairs = doc.join(light(asked, heavy), ["user_id", "workspace_id"])
     like, like_key = F.expr("_st like concat('%', _low, '%')"), F.expr("_key like concat('%', _low, '%')")
     pairs = pairs.withColumns({"_like": like, "_like_key": like_key, "_share": F.size(F.array_intersect("_tg", "_qg")), "_sim": T.trigram_similarity(F.col("_tg"), F.col("_qg"))})
     near = pairs.where("_like or _like_key or _share > 0")

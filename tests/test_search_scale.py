@@ -73,6 +73,12 @@ def test_relaxed_forms_are_not_broadcast(no_broadcast):
     assert {x["id"] for x in hits.collect()} == {"i0", "i1", "i2", "e1"} and not _broadcast_by(hits, "request#")
 
 
+def test_requests_of_the_fuzzy_tier_are_not_broadcast(no_broadcast):
+    i, _, _, r = no_broadcast
+    hits = search.fuzzy_items(i, r)
+    assert {x["id"] for x in hits.collect()} == {"i0", "i1", "i2"} and not _broadcast_by(hits, "user_id#")
+
+
 def test_lists_to_be_fused_are_not_broadcast(no_broadcast):
     i, e, _, r = no_broadcast
     r = r.withColumn("query", F.lit("plain"))
