@@ -159,7 +159,8 @@ def routed(corpus_name: str, corpus: Corpus, requests: DataFrame, vectors: DataF
     hits = hits.withColumn("mode", found).drop("_v")
     if min_score is not None:
         hits = hits.where(F.col("score") >= min_score)
-    hits = hits.join(requests.select("request", T.query_mode(F.col("query")).alias("query_mode")), "request")
+    modes = requests.select("request", T.query_mode(F.col("query")).alias("query_mode"))
+    hits = hits.join(search.small(modes, requests.count()), "request")
     exact = F.row_number().over(Window.partitionBy("request").orderBy(*exact_order()))
     kept = F.row_number().over(Window.partitionBy("request").orderBy("rank"))
     return hits.withColumn("rank", F.when(F.col("query_mode") == "exact_value", exact).otherwise(kept))

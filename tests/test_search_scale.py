@@ -94,6 +94,12 @@ def test_said_candidates_are_not_broadcast(no_broadcast):
     assert [x["cid"] for x in known.collect()] == ["r1"] and not _broadcast_by(known, "_d#") and not _broadcast_by(known, "_r#")
 
 
+def test_routed_requests_are_not_broadcast(no_broadcast):
+    _, _, c, r = no_broadcast
+    hits = routing.routed("sessions", routing.Corpus(chunks=c), r.withColumn("query", F.lit("plain")))
+    assert [x["id"] for x in hits.collect()] == ["c1"] and not _broadcast_by(hits, "request#")
+
+
 def test_sources_of_the_manager_are_not_broadcast(no_broadcast):
     _, _, c, r = no_broadcast
     hits = routing.manager(routing.Corpus(chunks=c), r.withColumn("query", F.lit("plain")), ("sessions",))
