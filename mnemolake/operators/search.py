@@ -323,7 +323,9 @@ def semantic(items: DataFrame, embeddings: DataFrame, requests: DataFrame, k: in
     emb = current_embeddings(embeddings).where(is_usable(F.col("embedding"), F.col("dimensions"))).select(
         F.col("memory_item_id").alias("id"), "profile_key", "embedding", F.col("memory_item_version").alias("_v"), "dimensions"
     )
-    pairs = live.join(emb, "id").where(F.col("version").eqNullSafe(F.col("_v"))).join(requests, ["user_id", "workspace_id", "profile_key"])
+    asked = written(requests, "vector-asked")
+    heavy = asked.agg(F.coalesce(F.sum(_row_bytes("request", *SCOPE, "profile_key") + 4 * F.size("vector")), F.lit(0))).first()[0]
+    pairs = live.join(emb.hint("merge"), "id").where(F.col("version").eqNullSafe(F.col("_v"))).join(light(asked, heavy), [*SCOPE, "profile_key"])
     scored = pairs.where(F.size("vector") == F.col("dimensions")).withColumn("score", F.round(cosine(F.col("embedding"), F.col("vector")), 6)).where("score is not null")
     return _ranked(scored.withColumn("path", item_path()), item_order(), k)
 
@@ -337,7 +339,7 @@ def fuse(lexical: DataFrame, vector: DataFrame, k: int = 10, base: int = 60) ->
     shown = F.struct(F.col("score").alias("shown_score"), F.lit(0).alias("_first"), "corpus", "path", "importance", "updated_at")
     part = lambda df, first: df.select("request", "id", (1.0 / (base + F.col("rank"))).alias("r"), shown.withField("_first", F.lit(first)).alias("s"), F.when(F.lit(first) == 1, F.col("rank")).alias("lex"))
     hybrid = vector.select("request").distinct().withColumn("_h", F.lit(True))
-    both = part(lexical, 1).unionByName(part(vector, 0)).join(hybrid, "request", "left")
+    both = part(lexical, 1).unionByName(part(vector, 0)).join(hybrid.hint("merge"), "request", "left")
     merged = both.groupBy("request", "id").agg(F.sum("r").alias("rrf"), F.max("s").alias("s"), F.min("lex").alias("lex"), F.max(F.coalesce("_h", F.lit(False))).alias("hybrid"))
     rows = merged.select("request", "id", "s.*", "lex", "hybrid", F.round(F.when(F.col("hybrid"), F.col("rrf")).otherwise(F.col("s.shown_score")), 9).alias("score")).drop("_first")
     return _ranked(rows, [F.when(~F.col("hybrid"), F.col("lex")).asc_nulls_first(), *hit_order()], k).drop("lex")

@@ -110,7 +110,7 @@ def _vector_requests(spark, d):
     """Per scope and profile, the vector of its smallest item."""
     live = items(spark, d).select("user_id", "workspace_id", "id")
     emb = embeddings(spark, d).where(search.is_usable(F.col("embedding"), F.col("dimensions")))
-    mine = live.join(emb.select(F.col("memory_item_id").alias("id"), "profile_key", "embedding"), "id")
+    mine = live.join(emb.select(F.col("memory_item_id").alias("id"), "profile_key", "embedding").hint("merge"), "id")
     return mine.groupBy("user_id", "workspace_id", "profile_key").agg(F.min_by("embedding", "id").alias("vector")).withColumn("request", F.concat_ws("#", "workspace_id", "profile_key"))
 
 
