@@ -222,8 +222,8 @@ def known_candidates(candidates: DataFrame, items: DataFrame) -> DataFrame:
     same = T.comparable(F.col("content"))
     active = search.item_docs(items).withColumn("_same", same)
     c = written(candidates.select("cid", *scope, "type", "canonical_key", "content", same.alias("_same")), "said-candidates")
-    by_key = c.join(active.select(*scope, "type", "canonical_key").distinct(), [*scope, "type", "canonical_key"], "left_semi").select("cid")
-    by_text = c.join(active.select(*scope, "_same").distinct(), [*scope, "_same"], "left_semi").select("cid")
+    by_key = c.join(active.select(*scope, "type", "canonical_key").distinct().hint("merge"), [*scope, "type", "canonical_key"], "left_semi").select("cid")
+    by_text = c.join(active.select(*scope, "_same").distinct().hint("merge"), [*scope, "_same"], "left_semi").select("cid")
     blank = c.where(F.coalesce("_same", F.lit("")) == "").select("cid")
     asked = c.select(F.col("cid").alias("request"), *scope, F.col("content").alias("query"))
     met = search.candidates(active.select("_d", *scope, "id", "content", "_doc"), asked)
