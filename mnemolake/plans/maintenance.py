@@ -37,17 +37,17 @@ def ordered_blocks(blocks: DataFrame, page_size: int = BATCH) -> DataFrame:
 
 def block_windows(blocks: DataFrame) -> DataFrame:
     """Windows of ordered blocks: their coordinates, hash and content."""
-    w = daily.windows(blocks, "id", "content").join(blocks.select("id", *SCOPE, "path", "logical_date", "block_index", "at", "page", T.plain_daily(F.col("content")).alias("_t")), "id")
+    w = daily.windows(blocks, "id", "content").join(blocks.select("id", *SCOPE, "path", "logical_date", "block_index", "at", "page", T.plain_daily(F.col("content")).alias("_t")).hint("merge"), "id")
     part = F.substring(F.col("_t"), F.col("char_start") + 1, F.lit(daily.WINDOW))
     return w.withColumns({"content": part, "pipeline_version": F.lit(PIPELINE_VERSION)}).drop("_t")
 
 
 def pending_windows(windows: DataFrame, receipts: DataFrame, batch: int = BATCH) -> DataFrame:
     """What one run of each scope takes: of the first page with pending windows those of its first pending path, at most ``batch``."""
-    left = windows.join(receipts.select(*WINDOW).distinct(), WINDOW, "left_anti")
+    left = windows.join(receipts.select(*WINDOW).distinct().hint("merge"), WINDOW, "left_anti")
     order = [F.col("page"), F.col("at"), F.col("window_index")]
     first = left.groupBy(*SCOPE).agg(F.min(F.struct("page", "at", "path")).alias("_f")).select(*SCOPE, F.col("_f.page").alias("page"), F.col("_f.path").alias("path"))
-    mine = left.join(first, [*SCOPE, "page", "path"])
+    mine = left.join(first.hint("merge"), [*SCOPE, "page", "path"])
     return mine.withColumn("place", F.row_number().over(Window.partitionBy(*SCOPE).orderBy(*order))).where(F.col("place") <= max(1, batch))
 
 
@@ -99,7 +99,7 @@ def cycle(blocks: DataFrame, items: DataFrame, receipts: DataFrame, extract: Cal
     found = extract(transcripts.where("error is null")).withColumn("cid", F.sha2(F.concat_ws("|", *SCOPE, "type", F.coalesce("canonical_key", F.lit("")), "content"), 256))
     sure = F.coalesce(F.col("confidence") >= MIN_CONFIDENCE, F.lit(False))
     unique = selection.first_rows(found.where(sure), [*SCOPE, F.coalesce("canonical_key", T.comparable(F.col("content")))], [F.col("cid")])
-    known = routing.known_candidates(unique, items)
+    known = routing.known_candidates(unique, items).hint("merge")  # none of the joins here is left to the optimizer, see search.small
     stored = unique.join(known, "cid", "left_anti")
     skipped = found.where(~sure).select(*SCOPE, "cid").unionByName(unique.join(known, "cid", "left_semi").select(*SCOPE, "cid"))
     return Cycle(stored, skipped, read.select(*SCOPE, *WINDOW, "path", "logical_date", "window_sha256", "char_start", "char_end"), selection.run_summary(read, stored, skipped, SCOPE))
